@@ -23,32 +23,36 @@ from ..session import ensure_checkpoint_dir
 from ..sources.contracts import DEFAULT_POLICY, Policy, chart_of_accounts
 from ..sources.driver import DriverFeeds
 
-# Models read by several downstream models: worth materialising once.
-SHARED_MODELS = ("settlement_events", "journal_settlements", "ledger_entries", "fx_rates_daily")
+# Models stored as tables (written once per application and dataset, then
+# read back): the ones with several downstream readers.  Everything else is
+# a view -- a lazy plan that Catalyst folds into its reader.
+TABLE_MODELS = ("fx_rates_daily", "settlement_events", "journal_settlements", "ledger_entries",
+                "seller_balance_aging", "general_ledger", "fct_orders", "seller_months")
+_TABLES: dict[tuple, str] = {}
 
 
 class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = DEFAULT_POLICY,
-                 feeds: DriverFeeds | None = None):
+                 feeds: DriverFeeds | None = None, tables: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.policy = policy
-        self.raw = feeds or DriverFeeds(spark, sf_dir)
-        self._materialized: dict[str, DataFrame] = {}
-
-    def materialize(self, *names: str) -> None:
-        """Write each named model to the shared checkpoint folder and serve
-        later reads from that copy (explicit lineage cut, executor-loss safe)."""
-        root = ensure_checkpoint_dir(self.spark)
-        run = uuid.uuid4().hex[:8]
-        for name in names:
-            path = f"{root}/models-{run}/{name}"
-            getattr(self, name).write.mode("overwrite").parquet(path)
-            self._materialized[name] = self.spark.read.parquet(path)
+        self.tables = tables
+        self.raw = feeds or DriverFeeds(spark, sf_dir, land=tables)
 
     def _m(self, name: str, build) -> DataFrame:
-        df = self._materialized.get(name)
-        return df if df is not None else build()
+        """A table model: written once to the shared checkpoint folder (lineage
+        cut, executor-loss safe), then every reader scans the Parquet copy."""
+        if not self.tables or name not in TABLE_MODELS:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.policy, name)
+        path = _TABLES.get(key)
+        if path is None:
+            root = ensure_checkpoint_dir(self.spark)
+            path = f"{root}/tables-{uuid.uuid4().hex[:10]}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            _TABLES[key] = path
+        return self.spark.read.parquet(path)
 
     # -- staging -------------------------------------------------------------
     @cached_property
@@ -147,7 +151,7 @@ class Models:
 
     @property
     def seller_balance_aging(self) -> DataFrame:
-        return acc.seller_balance_aging(self.ledger_entries, self.month_ends, self.policy)
+        return self._m("seller_balance_aging", lambda: acc.seller_balance_aging(self.ledger_entries, self.month_ends, self.policy))
 
     @property
     def fx_remeasurement(self) -> DataFrame:
@@ -165,7 +169,7 @@ class Models:
     # -- marts ---------------------------------------------------------------
     @property
     def general_ledger(self) -> DataFrame:
-        return acc.general_ledger(self.ledger_entries, self.journal_close)
+        return self._m("general_ledger", lambda: acc.general_ledger(self.ledger_entries, self.journal_close))
 
     @property
     def trial_balance(self) -> DataFrame:
@@ -181,8 +185,8 @@ class Models:
 
     @property
     def fct_orders(self) -> DataFrame:
-        return metrics.order_economics(self.stg_orders, self.fx_rates_daily, self.ledger_entries,
-                                       self.stg_sellers, self.stg_plans)
+        return self._m("fct_orders", lambda: metrics.order_economics(self.stg_orders, self.fx_rates_daily, self.ledger_entries,
+                                       self.stg_sellers, self.stg_plans))
 
     @property
     def unit_economics_monthly(self) -> DataFrame:
@@ -198,7 +202,7 @@ class Models:
 
     @property
     def seller_months(self) -> DataFrame:
-        return metrics.seller_months(self.fct_orders)
+        return self._m("seller_months", lambda: metrics.seller_months(self.fct_orders))
 
     @property
     def seller_churn_monthly(self) -> DataFrame:
