@@ -271,14 +271,14 @@ WHERE coalesce(l.times_landed, 0) <> 1"""
 
 @register("dq_a_landed_once", ("raw_processor_a", "stg_processor_a_txns", "stg_exceptions"), _LANDED.format(
     raw="SELECT DISTINCT balance_transaction_id AS record_key FROM raw_processor_a WHERE balance_transaction_id <> ''",
-    staged="SELECT balance_transaction_id FROM stg_processor_a_txns", src="processor_a_balance_transactions"))
+    staged="SELECT balance_transaction_id AS record_key FROM stg_processor_a_txns", src="processor_a_balance_transactions"))
 def _(m): return dq.a_landed_once(m.raw.raw_processor_a_landed, m.stg_processor_a_txns, m.stg_exceptions)
 
 
 @register("dq_b_landed_once", ("raw_processor_b", "stg_processor_b_lines", "stg_exceptions"), _LANDED.format(
     raw="SELECT DISTINCT md5(concat_ws('|', coalesce(nullif(psp_reference, ''), ''), type, modification_reference)) "
         "AS record_key FROM raw_processor_b",
-    staged="SELECT settlement_line_id FROM stg_processor_b_lines", src="processor_b_settlement_details"))
+    staged="SELECT settlement_line_id AS record_key FROM stg_processor_b_lines", src="processor_b_settlement_details"))
 def _(m): return dq.b_landed_once(m.raw.raw_processor_b, m.stg_processor_b_lines, m.stg_exceptions)
 
 
