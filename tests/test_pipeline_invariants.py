@@ -43,3 +43,10 @@ def test_mutation_is_caught(spark, models_small):
     victim = led.select("ledger_line_id").orderBy("ledger_line_id").first().ledger_line_id
     broken = led.filter(F.col("ledger_line_id") != victim)
     assert sums_to_zero(broken, "amount_usd_minor", "journal_entry_id").count() == 1
+
+
+def test_answer_key_coverage_all_pass(spark):
+    from conftest import SF_SMALL
+    rows = all_queries()["coverage_report"](spark, SF_SMALL).collect()
+    assert len(rows) == 16
+    assert [r.check for r in rows if not r.passed] == []
