@@ -66,7 +66,7 @@ def seller_balance_aging(ledger: DataFrame, month_ends_df: DataFrame,
                      F.explode(F.sequence("_month", "_to", F.expr("interval 1 month"))).alias("_m")))
     snap = spans.select("seller_id", "payable_balance_usd_minor", "negative_since",
                         F.last_day("_m").alias("month_end"))
-    snap = snap.join(F.broadcast(month_ends_df), "month_end", "left_semi")
+    snap = snap.join(month_ends_df, "month_end", "left_semi")
     days = F.datediff("month_end", "negative_since")
     reserved = days >= policy.bad_debt_aging_days
     pay = F.col("payable_balance_usd_minor")
@@ -103,7 +103,7 @@ def fx_remeasurement(events: DataFrame, bank: DataFrame, ledger: DataFrame,
                     .agg(F.sum("amount_usd_minor").alias("usd_minor")))
     accounts = month_ends_df.sparkSession.createDataFrame([(a,) for a in EUR_ACCOUNTS],
                                                           "account_code string")
-    grid = F.broadcast(month_ends_df).crossJoin(F.broadcast(accounts))
+    grid = month_ends_df.crossJoin(F.broadcast(accounts))   # 3 fixed accounts
     w = Window.partitionBy("account_code").orderBy("month_end")
     cum = w.rowsBetween(Window.unboundedPreceding, 0)
     carrying = (grid.join(eur_by_month, ["month_end", "account_code"], "left")
@@ -177,7 +177,7 @@ def trial_balance(gl: DataFrame, month_ends_df: DataFrame, accounts: DataFrame)
     activity = gl.groupBy("account_code", F.last_day("posting_date").alias("month_end")).agg(
         F.sum(F.when(amt > 0, amt).otherwise(0)).alias("d"),
         F.sum(F.when(amt < 0, -amt).otherwise(0)).alias("c"))
-    grid = F.broadcast(month_ends_df).crossJoin(F.broadcast(accounts))
+    grid = month_ends_df.crossJoin(F.broadcast(accounts))   # the 15-account chart
     g = grid.join(activity, ["month_end", "account_code"], "left").select(
         "month_end", "account_code", "account_name", "account_type", "normal_balance",
         F.coalesce("d", F.lit(0)).cast("bigint").alias("period_debit_usd_minor"),

@@ -79,8 +79,9 @@ def _rate_lookup(rates: DataFrame, prefix: str) -> DataFrame:
 def journal_settlements(events: DataFrame, orders: DataFrame, rates: DataFrame) -> DataFrame:
     """2-5 signed lines per settlement event (five posting rules, first match wins).
 
-    ``rates`` is the daily FX calendar: days x currencies, bounded by the
-    calendar, not by the data volume -- Catalyst/AQE broadcast it.
+    ``rates`` is the daily FX calendar (days x currencies).  No hint: AQE
+    measures it at runtime and broadcasts it when under the broadcast
+    threshold, else falls back to a sort-merge join.
     """
     o = orders.select(F.col("order_id").alias("_oid"), "seller_id",
                       F.col("currency").alias("order_currency"), "platform_fee_minor")
@@ -88,9 +89,9 @@ def journal_settlements(events: DataFrame, orders: DataFrame, rates: DataFrame)
     pr = _rate_lookup(rates, "pr")
     conv = (events
             .join(o, events["order_id"] == o["_oid"], "left")
-            .join(F.broadcast(sr), (F.col("settlement_currency") == F.col("sr_ccy"))
+            .join(sr, (F.col("settlement_currency") == F.col("sr_ccy"))
                   & (F.col("event_date") == F.col("sr_date")), "left")
-            .join(F.broadcast(pr), (F.col("presentment_currency") == F.col("pr_ccy"))
+            .join(pr, (F.col("presentment_currency") == F.col("pr_ccy"))
                   & (F.col("event_date") == F.col("pr_date")), "left")
             .select(
                 events["*"], "seller_id",
@@ -158,7 +159,7 @@ def journal_cash(bank: DataFrame, settlement_lines: DataFrame, rates: DataFrame,
     r = _rate_lookup(rates, "br")
     receipts = (bank.filter(F.col("counterparty_name").isin(*COUNTERPARTIES))
                 .join(booked, F.col("end_to_end_reference") == F.col("_ref"), "left")
-                .join(F.broadcast(r), (F.col("currency") == F.col("br_ccy"))
+                .join(r, (F.col("currency") == F.col("br_ccy"))
                       & (F.col("booking_date") == F.col("br_date")), "left"))
     is_usd = F.col("currency") == "USD"
     amt = F.coalesce(F.col("transit_usd_minor"),

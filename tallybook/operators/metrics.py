@@ -58,7 +58,7 @@ def order_economics(orders: DataFrame, rates: DataFrame, ledger: DataFrame,
     s = sellers.select("seller_id", F.col("created_at").alias("_seller_created"))
     p = plans.select(F.col("plan_id").alias("_pid"), F.col("currency").alias("_pc"), "plan_name")
     o = orders.withColumn("order_date", F.to_date("created_at"))
-    j = (o.join(F.broadcast(r), (o["currency"] == r["_rc"]) & (o["order_date"] == r["_rd"]), "left")
+    j = (o.join(r, (o["currency"] == r["_rc"]) & (o["order_date"] == r["_rd"]), "left")
          .join(led, "order_id", "left")
          .join(s, "seller_id", "left")
          .join(F.broadcast(p), (o["plan_id"] == p["_pid"]) & (o["currency"] == p["_pc"]), "left"))

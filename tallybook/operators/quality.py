@@ -27,9 +27,9 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def relationships(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child values with no parent (the parent is dimension-sized, e.g. the chart)."""
+    """Child values with no parent; AQE broadcasts the parent when it is small."""
     p = parent.select(F.col(parent_col).alias("_p")).distinct()
-    return df.filter(F.col(col).isNotNull()).join(F.broadcast(p), F.col(col) == F.col("_p"), "left_anti")
+    return df.filter(F.col(col).isNotNull()).join(p, F.col(col) == F.col("_p"), "left_anti")
 
 
 def sums_to_zero(df: DataFrame, value: str, group: Column | str) -> DataFrame:

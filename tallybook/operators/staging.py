@@ -9,7 +9,7 @@ deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import file_date, to_minor_units
@@ -25,10 +25,24 @@ def _iso_ts(c: str) -> Column:
     return F.try_to_timestamp(_nullif_empty(c), F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """``qualify row_number() over (partition by keys order by order) = 1``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+def keep_first(df: DataFrame, keys: list[str], order: list[str], descending: bool = False) -> DataFrame:
+    """``qualify row_number() over (partition by keys order by order) = 1``,
+    skew-proof.
+
+    A window would send every copy of one key to one task; a key holding a
+    third of all rows (a flood of re-sent copies) would stall it.  Instead
+    the winning order value per key comes from a partial (map-side)
+    aggregate -- one row per key and task before the shuffle -- and is joined
+    back on (keys + order columns), a composite key that spreads a hot key's
+    copies across tasks.  (keys + order) must identify a row, as the lineage
+    columns (file, line) do.
+    """
+    pick = F.max if descending else F.min
+    win = df.groupBy(*keys).agg(pick(F.struct(*order)).alias("_w"))
+    win = win.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order])
+    # null-safe equality: a null order value (e.g. unparsed date) still matches
+    cond = [df[c].eqNullSafe(win[c]) for c in keys + order]
+    return df.join(win, cond, "left_semi")
 
 
 # -- app database --------------------------------------------------------------
@@ -117,8 +131,7 @@ def stg_bank(raw: DataFrame) -> DataFrame:
         F.upper("currency").alias("currency"),
         "counterparty_name", "end_to_end_reference", "description",
         "_source_file", "_source_line")
-    return keep_first(typed, ["bank_transaction_id"],
-                      [F.col("_source_file").asc(), F.col("_source_line").asc()])
+    return keep_first(typed, ["bank_transaction_id"], ["_source_file", "_source_line"])
 
 
 def stg_fx(raw: DataFrame) -> DataFrame:
@@ -128,9 +141,8 @@ def stg_fx(raw: DataFrame) -> DataFrame:
         F.upper("quote_currency").alias("currency"),
         F.try_to_date("rate_date", "yyyy-MM-dd").alias("rate_date"),
         "_source_file", "_source_line")
-    return keep_first(typed, ["rate_date", "currency"],
-                      [F.col("_source_file").desc(), F.col("_source_line").desc()]) \
-        .select("units_per_usd", "currency", "rate_date")
+    return keep_first(typed, ["rate_date", "currency"], ["_source_file", "_source_line"],
+                      descending=True).select("units_per_usd", "currency", "rate_date")
 
 
 # -- processor A ---------------------------------------------------------------
@@ -171,8 +183,7 @@ def base_processor_a(raw: DataFrame) -> DataFrame:
 def stg_processor_a_txns(base: DataFrame) -> DataFrame:
     """Valid rows, one per id; a restatement in a later file wins."""
     valid = base.filter(F.col("invalid_reason").isNull()).drop("invalid_reason")
-    return keep_first(valid, ["balance_transaction_id"],
-                      [F.col("file_date").desc_nulls_last(), F.col("_source_line").desc()])
+    return keep_first(valid, ["balance_transaction_id"], ["file_date", "_source_line"], descending=True)
 
 
 def stg_processor_a_payouts(raw: DataFrame) -> DataFrame:
@@ -187,9 +198,8 @@ def stg_processor_a_payouts(raw: DataFrame) -> DataFrame:
         _nullif_empty("failure_code").alias("failure_code"),
         F.try_to_timestamp("status_changed_utc", F.lit("yyyy-MM-dd HH:mm:ss")).alias("status_changed_at"),
         "_source_file", "_source_line")
-    return keep_first(parsed, ["payout_id"],
-                      [F.col("status_changed_at").desc_nulls_last(), F.col("_source_file").desc(),
-                       F.col("_source_line").desc()])
+    return keep_first(parsed, ["payout_id"], ["status_changed_at", "_source_file", "_source_line"],
+                      descending=True)
 
 
 # -- processor B ---------------------------------------------------------------
@@ -255,8 +265,7 @@ def base_processor_b(raw: DataFrame) -> DataFrame:
 def stg_processor_b_lines(base: DataFrame) -> DataFrame:
     """Valid lines, one per line id; an exact re-send keeps the earliest file."""
     valid = base.filter(F.col("invalid_reason").isNull()).drop("invalid_reason")
-    return keep_first(valid, ["settlement_line_id"],
-                      [F.col("_source_file").asc(), F.col("_source_line").asc()])
+    return keep_first(valid, ["settlement_line_id"], ["_source_file", "_source_line"])
 
 
 # -- exceptions ----------------------------------------------------------------
