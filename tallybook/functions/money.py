@@ -123,3 +123,9 @@ def minor_to_text(amount_minor, currency=None) -> Column:
 
 def month_start(d) -> Column:
     return F.trunc(_c(d), "MM")
+
+
+def time_spine(spark, start: str = "2023-01-01", end: str = "2027-12-31"):
+    """Daily calendar for the metric layer: one row per day (generated, no data read)."""
+    return spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+                                 .alias("date_day"))

@@ -141,3 +141,28 @@ def remeasurement_months_without_rate(month_ends: DataFrame, rates: DataFrame) -
     """Month-ends the remeasurement silently skips (no EUR rate that day)."""
     eur = rates.filter(F.col("currency") == "EUR").select(F.col("rate_date").alias("month_end"))
     return month_ends.join(eur, "month_end", "left_anti")
+
+
+# Freshness thresholds (hours) on the load timestamp.
+FRESHNESS_WARN_HOURS = 26
+FRESHNESS_ERROR_HOURS = 50
+
+
+def source_freshness(tables: dict[str, DataFrame], now: Column | str,
+                     loaded_col: str = "_loaded_at") -> DataFrame:
+    """Per raw table: newest load time and pass / warn / error against ``now``.
+
+    One global max per table (partial aggregates), unioned: rows = tables.
+    """
+    now_col = F.to_timestamp(F.lit(now)) if isinstance(now, str) else now
+    parts = [df.agg(F.max(loaded_col).alias("max_loaded_at")).select(F.lit(name).alias("source_table"),
+                                                                     "max_loaded_at")
+             for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    age_h = (F.unix_timestamp(now_col) - F.unix_timestamp("max_loaded_at")) / 3600.0
+    return out.select("source_table", "max_loaded_at", age_h.alias("age_hours"),
+                      F.when(F.col("max_loaded_at").isNull(), "error")
+                      .when(age_h > FRESHNESS_ERROR_HOURS, "error")
+                      .when(age_h > FRESHNESS_WARN_HOURS, "warn").otherwise("pass").alias("status"))

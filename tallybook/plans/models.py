@@ -21,7 +21,7 @@ from ..operators import journal, metrics, recon, staging
 from ..operators.fx import fx_rates_daily
 from ..session import ensure_checkpoint_dir
 from ..sources.contracts import DEFAULT_POLICY, Policy, chart_of_accounts
-from ..sources.driver import DriverFeeds
+from ..sources.driver import DriverFeeds, landing_lock
 
 # Dependency waves for a full build: everything inside one wave is
 # independent, so its jobs are submitted concurrently (Spark schedules the
@@ -80,12 +80,13 @@ class Models:
         if not self.tables or name not in TABLE_MODELS:
             return build()
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.policy, name)
-        path = _TABLES.get(key)
-        if path is None:
-            root = ensure_checkpoint_dir(self.spark)
-            path = f"{root}/tables-{uuid.uuid4().hex[:10]}/{name}"
-            build().write.mode("overwrite").parquet(path)
-            _TABLES[key] = path
+        with landing_lock(key):
+            path = _TABLES.get(key)
+            if path is None:
+                root = ensure_checkpoint_dir(self.spark)
+                path = f"{root}/tables-{uuid.uuid4().hex[:10]}/{name}"
+                build().write.mode("overwrite").parquet(path)
+                _TABLES[key] = path
         return self.spark.read.parquet(path)
 
     # -- staging -------------------------------------------------------------

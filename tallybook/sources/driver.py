@@ -22,6 +22,7 @@ Nothing here leaves the JVM: joins, unions and one window per processor.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -97,6 +98,14 @@ def month_last_day(m: Column) -> Column:
 
 
 _LANDED: dict[tuple, str] = {}
+_LOCKS: dict[tuple, "threading.Lock"] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def landing_lock(key: tuple) -> "threading.Lock":
+    """One lock per landed object: concurrent callers wait for a single writer."""
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(key, threading.Lock())
 
 
 @dataclass
@@ -121,14 +130,15 @@ class DriverFeeds:
             return build()
         from ..session import ensure_checkpoint_dir
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        path = _LANDED.get(key)
-        if path is None:
-            import hashlib
-            root = ensure_checkpoint_dir(self.spark)
-            tag = hashlib.sha1(f"{key[0]}|{self.sf_dir}".encode()).hexdigest()[:12]
-            path = f"{root}/raw-{tag}/{name}"
-            build().write.mode("overwrite").parquet(path)
-            _LANDED[key] = path
+        with landing_lock(key):
+            path = _LANDED.get(key)
+            if path is None:
+                import hashlib
+                root = ensure_checkpoint_dir(self.spark)
+                tag = hashlib.sha1(f"{key[0]}|{self.sf_dir}".encode()).hexdigest()[:12]
+                path = f"{root}/raw-{tag}/{name}"
+                build().write.mode("overwrite").parquet(path)
+                _LANDED[key] = path
         return self.spark.read.parquet(path)
 
     # -- base facts ---------------------------------------------------------
