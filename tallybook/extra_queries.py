@@ -407,3 +407,18 @@ def _(m):
 def _(m):
     from .operators.coverage import coverage_report
     return coverage_report(m)
+
+
+@register("after_payout_events", ("settlement_events", "stg_orders", "stg_seller_payouts"), """
+SELECT q.settlement_event_id, q.processor, q.event_type, q.order_id, q.seller_id, q.order_created_at,
+       q.occurred_at, p.initiated_at AS next_payout_at
+FROM (SELECT e.settlement_event_id, e.processor, e.event_type, e.order_id, o.seller_id,
+             o.created_at AS order_created_at, e.occurred_at
+      FROM settlement_events e JOIN stg_orders o ON e.order_id = o.order_id
+      WHERE e.event_type IN ('refund', 'dispute')) q
+ASOF JOIN (SELECT seller_id, initiated_at FROM stg_seller_payouts WHERE status IN ('paid', 'returned')) p
+  ON q.seller_id = p.seller_id AND p.initiated_at > q.order_created_at
+WHERE p.initiated_at < q.occurred_at""")
+def _(m):
+    from .operators.asof import after_payout_events
+    return after_payout_events(m.settlement_events, m.stg_orders, m.stg_seller_payouts)

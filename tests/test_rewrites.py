@@ -57,3 +57,21 @@ def test_batch_carry_closed_form_equals_loop(spark):
             payout = total if total > 0 else 0
             carry = total - payout
             assert got[(merchant, batch)] == (payout, carry)
+
+
+def test_next_after_with_hot_key_equals_brute_force(spark):
+    from tallybook.operators.asof import next_after
+    random.seed(5)
+    left, right = [], []
+    for i in range(1500):
+        k = 0 if random.random() < 0.4 else random.randint(1, 30)      # key 0 holds 40% of rows
+        left.append((i, k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=random.randint(0, 50000))))
+    for _ in range(1000):
+        k = 0 if random.random() < 0.4 else random.randint(1, 30)
+        right.append((k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=random.randint(0, 50000))))
+    ld = spark.createDataFrame(left, "id long, k long, t timestamp")
+    rd = spark.createDataFrame(right, "k long, p timestamp")
+    got = {r.id: r.next_at for r in next_after(ld, rd, "k", "t", "p", num_partitions=7).collect()}
+    for i, k, t in left:
+        later = [p for kk, p in right if kk == k and p > t]
+        assert got[i] == (min(later) if later else None)
