@@ -36,7 +36,7 @@ def main() -> None:
     # Land the raw feeds and build the warehouse tables (the "load + build" step).
     from tallybook.plans.models import Models
     t = time.time()
-    Models(spark, sf_dir).build(threads=int(os.environ.get("BENCH_BUILD_THREADS", "4")))
+    Models(spark, sf_dir).build(threads=int(os.environ.get("BENCH_BUILD_THREADS", "8")))
     timings["warehouse_build"] = round(time.time() - t, 3)
     for k in HEADLINE:
         if k not in qs:

@@ -327,3 +327,75 @@ def verify_load(warehouse: Warehouse) -> DataFrame:
     for p in problems[1:]:
         out = out.unionByName(p)
     return out
+
+
+class WarehouseFeeds:
+    """The raw feeds as seen by the models, read from a loaded warehouse
+    (the production path: files -> :func:`ingest` -> models)."""
+
+    def __init__(self, warehouse: Warehouse):
+        self.wh = warehouse
+        self.spark = warehouse.spark
+
+    def _t(self, table: str) -> DataFrame:
+        return self.wh.raw_table(table)
+
+    @property
+    def raw_processor_a_landed(self) -> DataFrame:
+        return self._t("processor_a_balance_transactions")
+
+    @property
+    def raw_processor_a_payouts(self) -> DataFrame:
+        return self._t("processor_a_payouts")
+
+    @property
+    def raw_processor_b(self) -> DataFrame:
+        return self._t("processor_b_settlement_details")
+
+    @property
+    def raw_bank(self) -> DataFrame:
+        return self._t("bank_statements")
+
+    @property
+    def raw_fx(self) -> DataFrame:
+        return self._t("fx_reference_rates")
+
+    @property
+    def raw_orders(self) -> DataFrame:
+        return self._t("app_db_orders")
+
+    @property
+    def raw_refunds(self) -> DataFrame:
+        return self._t("app_db_refunds")
+
+    @property
+    def raw_sellers(self) -> DataFrame:
+        return self._t("app_db_sellers")
+
+    @property
+    def raw_plan_changes(self) -> DataFrame:
+        return self._t("app_db_seller_plan_changes")
+
+    @property
+    def raw_products(self) -> DataFrame:
+        return self._t("app_db_products")
+
+    @property
+    def raw_plans(self) -> DataFrame:
+        return self._t("app_db_plans")
+
+    @property
+    def raw_plan_fixed_fees(self) -> DataFrame:
+        return self._t("app_db_plan_fixed_fees")
+
+    @property
+    def raw_seller_payouts(self) -> DataFrame:
+        return self._t("app_db_seller_payouts")
+
+    @property
+    def load_exceptions(self) -> DataFrame:
+        return self.wh.exceptions()
+
+    @property
+    def load_manifest(self) -> DataFrame:
+        return self.wh.manifest()

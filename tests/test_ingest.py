@@ -106,3 +106,15 @@ def test_crashed_load_is_invisible_and_reported(spark, dirs):
     assert wh.raw_table("processor_a_balance_transactions").count() == 3
     problems = [r.problem for r in verify_load(wh).collect()]
     assert any("no manifest entry" in p for p in problems)
+
+
+def test_non_utf8_file_is_rejected(spark):
+    raw = tempfile.mkdtemp(prefix="raw-", dir="/tmp")
+    path = os.path.join(raw, "fx", "reference_rates_2025-07-10.csv")
+    os.makedirs(os.path.dirname(path))
+    with open(path, "wb") as fh:
+        fh.write(FX_HEADER.encode() + b"\n2025-07-10,USD,EUR,0.9\x80\n")
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    res = ingest(spark, raw, wh).collect()
+    assert [(r.status) for r in res] == ["rejected"]
+    assert [r.reason for r in wh.exceptions().collect()] == ["file is not valid UTF-8"]
