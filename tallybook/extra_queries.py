@@ -24,7 +24,8 @@ ORACLE: dict[str, str] = {}
 def register(key: str, needs: tuple[str, ...], sql: str | None):
     def deco(fn: Callable[[Models], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Models(spark, sf_dir))
+            from .registry import as_wall_time
+            return as_wall_time(fn(Models(spark, sf_dir)))
         run.__name__ = key
         QUERIES[key] = run
         if sql is not None:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import accounting as acc
 from ..operators import journal, metrics, recon, staging
 from ..operators.fx import fx_rates_daily
-from ..session import ensure_checkpoint_dir
+from ..session import apply_runtime_defaults, ensure_checkpoint_dir
 from ..sources.contracts import DEFAULT_POLICY, Policy, chart_of_accounts
 from ..sources.driver import DriverFeeds, landing_lock
 
@@ -49,6 +49,7 @@ _TABLES: dict[tuple, str] = {}
 class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = DEFAULT_POLICY,
                  feeds: DriverFeeds | None = None, tables: bool = True):
+        apply_runtime_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self.policy = policy

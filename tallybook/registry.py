@@ -56,11 +56,21 @@ MODEL_KEYS = [
 ]
 
 
+def as_wall_time(df: DataFrame) -> DataFrame:
+    """Present timestamps as UTC wall time (TIMESTAMP_NTZ): collected values
+    then never depend on the client's local time zone."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def _model_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(Models(spark, sf_dir), key)
         cols = PROJECTIONS.get(key)
-        return df.select(*cols) if cols else df
+        return as_wall_time(df.select(*cols) if cols else df)
     run.__name__ = key
     return run
 

@@ -42,6 +42,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+# Runtime SQL settings the library relies on, applied to any session it is
+# handed (the caller may have built its own).  UTC is load-bearing: every
+# `to_date(ts)` is a UTC calendar date.
+RUNTIME_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    for k, v in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
