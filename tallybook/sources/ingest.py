@@ -42,7 +42,7 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 MANIFEST_SCHEMA = ("load_id string, file_name string, source string, file_date date, "
                    "checksum_sha256 string, size_bytes bigint, row_count bigint, exception_count bigint, "
-                   "status string, reason string, loaded_at timestamp")
+                   "status string, reason string, loaded_at timestamp, modified_at timestamp")
 
 EXCEPTION_SCHEMA = ("_source_file string, _load_id string, _loaded_at timestamp, source string, "
                     "line_number bigint, reason string, raw_line string")
@@ -69,18 +69,44 @@ def _py_list(arr: Column) -> Column:
                                              ", "), F.lit("]"))
 
 
+def _relative(path: Column, root: str) -> Column:
+    return F.regexp_replace(path, r"^.*?" + re.escape(root.split("://")[-1]) + "/", "")
+
+
+def changed_paths(spark: SparkSession, raw_root: str, latest_manifest: DataFrame,
+                  contracts: dict[str, SourceContract] = CONTRACTS) -> tuple[list[str], DataFrame]:
+    """Metadata-only listing (the binaryFile source prunes ``content`` when it
+    is not selected): files whose (name, size, modification time) match the
+    latest manifest are unchanged and never read.  Returns the paths to read
+    (the new or touched files of this run) and the skipped files."""
+    root = raw_root.rstrip("/")
+    meta = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select("path", _relative(F.col("path"), root).alias("file_name"),
+                    F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
+            .withColumn("source", _source_of(F.col("file_name"), contracts))
+            .filter(F.col("source").isNotNull()))
+    known = latest_manifest.select("file_name", "size_bytes", "modified_at")
+    same = ["file_name", "size_bytes", "modified_at"]
+    todo = meta.join(known, same, "left_anti")
+    skipped = meta.join(known, same, "left_semi").select(
+        "file_name", "source", F.lit("skipped").alias("status"),
+        F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("exceptions"))
+    # The list of new/changed files of one run is metadata (one path per file).
+    return [r.path for r in todo.select("path").collect()], skipped
+
+
 def list_files(spark: SparkSession, raw_root: str, binary: DataFrame | None = None,
                contracts: dict[str, SourceContract] = CONTRACTS) -> DataFrame:
     """Discover + fingerprint every file under ``raw_root`` that matches a contract."""
     root = raw_root.rstrip("/")
     df = binary if binary is not None else (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1]) + "/", "")
-    files = df.select(rel.alias("file_name"), F.col("content"), F.col("length").alias("size_bytes"))
+    files = df.select(_relative(F.col("path"), root).alias("file_name"), F.col("content"),
+                      F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
     files = files.withColumn("source", _source_of(F.col("file_name"), contracts)) \
         .filter(F.col("source").isNotNull())
     return files.select(
-        "file_name", "source", "size_bytes",
+        "file_name", "source", "size_bytes", "modified_at",
         F.sha2(F.col("content"), 256).alias("checksum_sha256"),
         F.is_valid_utf8(F.col("content").cast("string")).alias("_utf8"),
         F.col("content").cast("string").alias("_text"))
@@ -158,7 +184,8 @@ def parse_files(files: DataFrame, load_id: str, loaded_at: str, known: DataFrame
             F.min_by(created, F.col("_source_line"))).alias("_row_date"))
         dated = d if dated is None else dated.unionByName(d)
     dated_by = F.create_map(*[x for c in contracts.values() for x in (F.lit(c.table), F.lit(c.dated_by))])
-    meta = f.select("file_name", "source", "size_bytes", "checksum_sha256").join(reason, "file_name", "left")
+    meta = f.select("file_name", "source", "size_bytes", "modified_at", "checksum_sha256") \
+        .join(reason, "file_name", "left")
     if dated is not None:
         meta = meta.join(dated, "file_name", "left")
     else:
@@ -212,7 +239,8 @@ def parse_files(files: DataFrame, load_id: str, loaded_at: str, known: DataFrame
         F.when(rejected, F.lit(0)).otherwise(F.coalesce("exception_count", F.lit(0))).cast("bigint")
         .alias("exception_count"),
         F.when(rejected, "rejected").otherwise("loaded").alias("status"),
-        F.coalesce("reason", F.lit("")).alias("reason"), loaded_ts.alias("loaded_at"))
+        F.coalesce("reason", F.lit("")).alias("reason"), loaded_ts.alias("loaded_at"),
+        F.col("modified_at").cast("timestamp").alias("modified_at"))
     results = m.select(
         "file_name", "source",
         F.when(rejected, "rejected").when(F.col("_replaced"), "replaced").otherwise("loaded").alias("status"),
@@ -288,11 +316,21 @@ def ingest(spark: SparkSession, raw_root: str, warehouse: Warehouse, start=None,
     """Load every new or changed file under ``raw_root``; returns per-file results."""
     load_id = load_id or uuid.uuid4().hex
     loaded_at = spark.sql("select current_timestamp() as t").first().t.strftime("%Y-%m-%d %H:%M:%S.%f")
+    latest = warehouse.latest_manifest()
+    pre_skipped = None
+    if binary is None:
+        paths, pre_skipped = changed_paths(spark, raw_root, latest)
+        if not paths:
+            return pre_skipped.checkpoint(eager=True)
+        binary = spark.read.format("binaryFile").load(paths)
     # Reliable checkpoint in the shared checkpoint folder: file bytes are read once.
     files = list_files(spark, raw_root, binary=binary).checkpoint(eager=True)
-    known = warehouse.latest_manifest().select("file_name", "checksum_sha256")
+    known = latest.select("file_name", "checksum_sha256")
     batch = parse_files(files, load_id, loaded_at, known, start, end)
-    results = batch.results.checkpoint(eager=True)
+    results = batch.results
+    if pre_skipped is not None and start is None and end is None:
+        results = results.unionByName(pre_skipped)
+    results = results.checkpoint(eager=True)
     warehouse.write_batch(batch)
     return results
 
