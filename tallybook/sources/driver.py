@@ -711,15 +711,21 @@ class DriverFeeds:
 
     @cached_property
     def raw_plans(self) -> DataFrame:
-        """The plan catalogue: a fixed seed, like the chart of accounts."""
-        return self.spark.createDataFrame(
-            [(str(p), n, str(b)) for p, n, b in PLANS], "plan_id string, name string, fee_bps string")
+        """The plans in use (from customers), named and priced from the catalogue."""
+        plan = (F.col("c_custkey") % 3 + 1)
+        used = self.table("customer").select(plan.alias("p")).distinct()
+        return used.select(F.col("p").cast("string").alias("plan_id"),
+                           _map_expr(F.col("p"), {p: n for p, n, _ in PLANS}).alias("name"),
+                           _map_expr(F.col("p"), {p: b for p, _, b in PLANS}).cast("string").alias("fee_bps"))
 
     @cached_property
     def raw_plan_fixed_fees(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(str(p), c, str(f)) for p, _, _ in PLANS for c, f in FIXED_FEE_MINOR.items()],
-            "plan_id string, currency string, fixed_fee_minor string")
+        """Fixed fee per plan and every currency orders are taken in."""
+        ccys = self.orders_all.select("currency").distinct()
+        plans = self.raw_plans.select("plan_id")
+        return plans.crossJoin(F.broadcast(ccys)).select(   # ISO-bounded currency set
+            "plan_id", "currency",
+            _map_expr(F.col("currency"), FIXED_FEE_MINOR).cast("string").alias("fixed_fee_minor"))
 
     # -- control tables ----------------------------------------------------
     @cached_property
