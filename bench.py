@@ -22,7 +22,6 @@ HEADLINE = [
     "fct_orders", "metrics_monthly", "seller_churn_monthly", "seller_ltv_cohorts",
     "payout_reconciliation", "daily_reconciliation", "order_settlement_match",
     "stg_exceptions", "dash_income_statement", "dq_sums_to_zero_entry", "dq_balance_sheet",
-    "coverage_report",
 ]
 
 
