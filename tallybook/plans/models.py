@@ -31,18 +31,18 @@ BUILD_WAVES = [
     ["raw.base_events", "raw.seller_payout_rows", "raw.raw_orders", "raw.raw_refunds"],
     ["raw.payouts", "raw.raw_seller_payouts", "fx_rates_daily"],
     ["raw.raw_processor_a", "raw.raw_processor_b", "raw.raw_bank", "raw.raw_processor_a_payouts"],
-    ["settlement_events"],
-    ["journal_settlements", "raw.load_manifest"],
-    ["ledger_entries"],
-    ["seller_balance_aging", "fct_orders"],
-    ["general_ledger", "seller_months"],
+    ["settlement_events", "stg_bank"],
+    ["ledger_entries", "raw.load_manifest"],
+    ["month_ends", "fct_orders"],
+    ["seller_balance_aging", "seller_months"],
+    ["trial_balance"],
 ]
 
 # Models stored as tables (written once per application and dataset, then
 # read back): the ones with several downstream readers.  Everything else is
 # a view -- a lazy plan that Catalyst folds into its reader.
-TABLE_MODELS = ("fx_rates_daily", "settlement_events", "journal_settlements", "ledger_entries",
-                "seller_balance_aging", "general_ledger", "fct_orders", "seller_months")
+TABLE_MODELS = ("fx_rates_daily", "stg_bank", "settlement_events", "ledger_entries", "month_ends",
+                "seller_balance_aging", "trial_balance", "fct_orders", "seller_months")
 _TABLES: dict[tuple, str] = {}
 
 
@@ -119,9 +119,9 @@ class Models:
     def stg_sellers(self) -> DataFrame:
         return staging.stg_sellers(self.raw.raw_sellers)
 
-    @cached_property
+    @property
     def stg_bank(self) -> DataFrame:
-        return staging.stg_bank(self.raw.raw_bank)
+        return self._m("stg_bank", lambda: staging.stg_bank(self.raw.raw_bank))
 
     @cached_property
     def stg_fx(self) -> DataFrame:
@@ -183,7 +183,7 @@ class Models:
 
     @property
     def month_ends(self) -> DataFrame:
-        return acc.month_ends(self.ledger_entries)
+        return self._m("month_ends", lambda: acc.month_ends(self.ledger_entries))
 
     @property
     def seller_balance_aging(self) -> DataFrame:
@@ -205,11 +205,13 @@ class Models:
     # -- marts ---------------------------------------------------------------
     @property
     def general_ledger(self) -> DataFrame:
-        return self._m("general_ledger", lambda: acc.general_ledger(self.ledger_entries, self.journal_close))
+        # A view: the ledger table plus a few hundred close lines (no copy of the ledger).
+        return acc.general_ledger(self.ledger_entries, self.journal_close)
 
     @property
     def trial_balance(self) -> DataFrame:
-        return acc.trial_balance(self.general_ledger, self.month_ends, self.chart_of_accounts)
+        return self._m("trial_balance", lambda: acc.trial_balance(
+            self.general_ledger, self.month_ends, self.chart_of_accounts))
 
     @property
     def close_package(self) -> DataFrame:
