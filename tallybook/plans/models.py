@@ -80,7 +80,8 @@ class Models:
         cut, executor-loss safe), then every reader scans the Parquet copy."""
         if not self.tables or name not in TABLE_MODELS:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.policy, name)
+        source = getattr(self.raw, "cache_key", self.sf_dir)
+        key = (self.spark.sparkContext.applicationId, source, self.policy, name)
         with landing_lock(key):
             path = _TABLES.get(key)
             if path is None:

@@ -374,6 +374,7 @@ class WarehouseFeeds:
     def __init__(self, warehouse: Warehouse):
         self.wh = warehouse
         self.spark = warehouse.spark
+        self.cache_key = f"warehouse:{warehouse.root}"   # stored model tables are per warehouse
 
     def _t(self, table: str) -> DataFrame:
         return self.wh.raw_table(table)

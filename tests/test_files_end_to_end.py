@@ -56,7 +56,7 @@ def test_books_from_files_equal_books_from_feeds(spark):
     _export(direct.raw, raw)
     wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
     ingest(spark, raw, wh)
-    loaded = Models(spark, SF_SMALL + "#files", feeds=WarehouseFeeds(wh))
+    loaded = Models(spark, SF_SMALL, feeds=WarehouseFeeds(wh))
 
     def rows(df):
         return sorted((tuple(r) for r in df.collect()), key=repr)
