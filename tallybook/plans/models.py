@@ -75,6 +75,11 @@ class Models:
                 timings[f"wave{i}"] = round(time.time() - t, 3)
         return timings
 
+    def publish_ledger(self, path: str, full_refresh: bool = False) -> dict:
+        """Write the ledger to its month-partitioned table (lookback rebuild)."""
+        from ..sources.sinks import write_ledger
+        return write_ledger(self.spark, self.ledger_entries, path, self.policy, full_refresh)
+
     def _m(self, name: str, build) -> DataFrame:
         """A table model: written once to the shared checkpoint folder (lineage
         cut, executor-loss safe), then every reader scans the Parquet copy."""

@@ -55,3 +55,15 @@ def test_stream_ingest_equals_batch_and_is_incremental(spark):
     m = stream_wh.manifest().groupBy("file_name").count().collect()
     assert all(r["count"] == 1 for r in m)          # earlier files not re-loaded
     assert stream_wh.raw_table(t).count() == 4
+
+
+def test_publish_pipeline_ledger_twice_is_stable(spark, models_small):
+    path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/fct_ledger_entries"
+    first = models_small.publish_ledger(path)
+    assert first["cutoff"] is None
+    n1 = spark.read.parquet(path).count()
+    again = models_small.publish_ledger(path)          # incremental: only the lookback months
+    assert again["cutoff"] is not None and again["months_emptied"] == []
+    stored = spark.read.parquet(path)
+    assert stored.count() == n1 == models_small.ledger_entries.count()
+    assert stored.groupBy().sum("amount_usd_minor").first()[0] == 0
