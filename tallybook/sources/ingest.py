@@ -74,7 +74,7 @@ def _relative(path: Column, root: str) -> Column:
 
 
 def changed_paths(spark: SparkSession, raw_root: str, latest_manifest: DataFrame,
-                  contracts: dict[str, SourceContract] = CONTRACTS) -> tuple[list[str], DataFrame]:
+                  contracts: dict[str, SourceContract] = CONTRACTS) -> tuple[list[tuple], DataFrame]:
     """Metadata-only listing (the binaryFile source prunes ``content`` when it
     is not selected): files whose (name, size, modification time) match the
     latest manifest are unchanged and never read.  Returns the paths to read
@@ -92,7 +92,7 @@ def changed_paths(spark: SparkSession, raw_root: str, latest_manifest: DataFrame
         "file_name", "source", F.lit("skipped").alias("status"),
         F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("exceptions"))
     # The list of new/changed files of one run is metadata (one path per file).
-    return [r.path for r in todo.select("path").collect()], skipped
+    return [(r.path, r.size_bytes) for r in todo.select("path", "size_bytes").collect()], skipped
 
 
 def list_files(spark: SparkSession, raw_root: str, binary: DataFrame | None = None,
@@ -112,6 +112,56 @@ def list_files(spark: SparkSession, raw_root: str, binary: DataFrame | None = No
         F.col("content").cast("string").alias("_text"))
 
 
+def text_lines(files: DataFrame) -> DataFrame:
+    """Whole-file text -> (file_name, _pos, _line); _pos 0 is the header."""
+    return files.filter("_utf8").select(
+        "file_name",
+        F.posexplode(F.split(F.regexp_replace("_text", r"\r?\n\z", ""), r"\r?\n")).alias("_pos", "_line"))
+
+
+def file_meta(files: DataFrame) -> DataFrame:
+    return files.select("file_name", "source", "size_bytes", "modified_at", "checksum_sha256", "_utf8",
+                        (F.col("_text") == "").alias("_empty"))
+
+
+def split_files(spark: SparkSession, paths: list[str], raw_root: str,
+                contracts: dict[str, SourceContract] = CONTRACTS) -> tuple[DataFrame, DataFrame]:
+    """Large files: lines read in parallel blocks, never a whole file per row.
+
+    The text source splits each file into blocks (one task each).  Physical
+    line numbers are rebuilt exactly: row order inside a block is the file
+    order, so a row number per (file, block) plus the line counts of the
+    file's earlier blocks gives the line number.  The per-block window is
+    bounded by the block size.  The fingerprint is a distributed one -- the
+    sum of xxhash64(line number, line) -- prefixed ``xxh64sum:`` (SHA-256
+    needs the bytes in order in one place).
+    """
+    root = raw_root.rstrip("/")
+    raw = (spark.read.format("text").load(paths)
+           .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_blk"),
+                   F.col("_metadata.file_size").alias("size_bytes"),
+                   F.col("_metadata.file_modification_time").alias("modified_at"),
+                   F.col("value").alias("_line"), F.monotonically_increasing_id().alias("_mid"))
+           .withColumn("file_name", _relative(F.col("path"), root)))
+    w = Window.partitionBy("file_name", "_blk").orderBy("_mid")
+    raw = raw.withColumn("_in_blk", F.row_number().over(w) - 1)
+    blocks = raw.groupBy("file_name", "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy("file_name").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("file_name", "_blk", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+    lines = raw.join(offsets, ["file_name", "_blk"]).select(
+        "file_name", (F.col("_off") + F.col("_in_blk")).alias("_pos"), "_line",
+        "size_bytes", "modified_at")
+    meta = (lines.groupBy("file_name").agg(
+        F.first("size_bytes").alias("size_bytes"), F.first("modified_at").alias("modified_at"),
+        F.sum(F.xxhash64(F.col("_pos"), F.col("_line")).cast("decimal(38,0)")).alias("_h"),
+        F.max(F.col("_line").contains("\ufffd").cast("int")).alias("_bad"))
+        .withColumn("source", _source_of(F.col("file_name"), contracts))
+        .select("file_name", "source", "size_bytes", "modified_at",
+                F.concat(F.lit("xxh64sum:"), F.col("_h").cast("string")).alias("checksum_sha256"),
+                (F.col("_bad") == 0).alias("_utf8"), F.lit(False).alias("_empty")))
+    return meta, lines.select("file_name", "_pos", "_line")
+
+
 @dataclass
 class ParsedBatch:
     rows: dict[str, DataFrame]       # table -> raw rows (strings + lineage)
@@ -120,16 +170,19 @@ class ParsedBatch:
     results: DataFrame               # file_name, source, status, rows, exceptions
 
 
-def parse_files(files: DataFrame, load_id: str, loaded_at: str, known: DataFrame | None,
-                start=None, end=None, contracts: dict[str, SourceContract] = CONTRACTS) -> ParsedBatch:
-    """Header check, line split, field-count exceptions, file dates, statuses."""
+def parse_files(files: DataFrame, all_lines: DataFrame, load_id: str, loaded_at: str,
+                known: DataFrame | None, start=None, end=None,
+                contracts: dict[str, SourceContract] = CONTRACTS) -> ParsedBatch:
+    """Header check, field-count exceptions, file dates, statuses.
+
+    ``files``: one row per file (file_name, source, size_bytes, modified_at,
+    checksum_sha256, _utf8, _empty); ``all_lines``: (file_name, _pos, _line).
+    """
     loaded_ts = F.to_timestamp(F.lit(loaded_at))
     expected = F.create_map(*[x for c in contracts.values()
                               for x in (F.lit(c.table), F.array(*[F.lit(h) for h in c.header]))])
     f = files.withColumn("_expected", expected[F.col("source")])
-    lines = f.filter("_utf8").select(
-        "file_name", "source", "_expected",
-        F.posexplode(F.split(F.regexp_replace("_text", r"\r?\n\z", ""), r"\r?\n")).alias("_pos", "_line"))
+    lines = all_lines.join(f.filter("_utf8").select("file_name", "source", "_expected"), "file_name")
     header = lines.filter(F.col("_pos") == 0).select(
         "file_name", F.split(F.regexp_replace("_line", "^﻿", ""), ",").alias("_got"), "_expected")
     missing = F.array_except("_expected", "_got")
@@ -144,7 +197,7 @@ def parse_files(files: DataFrame, load_id: str, loaded_at: str, known: DataFrame
     reason = (f.join(header, "file_name", "left")
               .select("file_name", F.when(~F.col("_utf8"), F.lit("file is not valid UTF-8"))
                       .otherwise(F.coalesce("_header_reason",
-                                            F.when(F.col("_text") == "", F.lit("empty file"))))
+                                            F.when(F.col("_empty"), F.lit("empty file"))))
                       .alias("reason")))
 
     data = (lines.filter(F.col("_pos") > 0)
@@ -312,21 +365,36 @@ class Warehouse:
 
 
 def ingest(spark: SparkSession, raw_root: str, warehouse: Warehouse, start=None, end=None,
-           load_id: str | None = None, binary: DataFrame | None = None) -> DataFrame:
-    """Load every new or changed file under ``raw_root``; returns per-file results."""
+           load_id: str | None = None, binary: DataFrame | None = None,
+           large_file_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+    """Load every new or changed file under ``raw_root``; returns per-file results.
+
+    Files up to ``large_file_bytes`` are read whole (``binaryFile``, SHA-256);
+    larger ones go through :func:`split_files` so no file is ever one row.
+    """
     load_id = load_id or uuid.uuid4().hex
     loaded_at = spark.sql("select current_timestamp() as t").first().t.strftime("%Y-%m-%d %H:%M:%S.%f")
     latest = warehouse.latest_manifest()
     pre_skipped = None
+    parts = []
     if binary is None:
-        paths, pre_skipped = changed_paths(spark, raw_root, latest)
-        if not paths:
+        todo, pre_skipped = changed_paths(spark, raw_root, latest)
+        if not todo:
             return pre_skipped.checkpoint(eager=True)
-        binary = spark.read.format("binaryFile").load(paths)
-    # Reliable checkpoint in the shared checkpoint folder: file bytes are read once.
-    files = list_files(spark, raw_root, binary=binary).checkpoint(eager=True)
+        small = [p for p, size in todo if size <= large_file_bytes]
+        large = [p for p, size in todo if size > large_file_bytes]
+        if small:
+            parts.append(_whole_files(spark, raw_root, spark.read.format("binaryFile").load(small)))
+        if large:
+            meta, lines = split_files(spark, large, raw_root)
+            parts.append((meta.checkpoint(eager=True), lines))
+    else:
+        parts.append(_whole_files(spark, raw_root, binary))
+    files, lines = parts[0]
+    for m, ln in parts[1:]:
+        files, lines = files.unionByName(m), lines.unionByName(ln)
     known = latest.select("file_name", "checksum_sha256")
-    batch = parse_files(files, load_id, loaded_at, known, start, end)
+    batch = parse_files(files, lines, load_id, loaded_at, known, start, end)
     results = batch.results
     if pre_skipped is not None and start is None and end is None:
         results = results.unionByName(pre_skipped)
@@ -335,6 +403,12 @@ def ingest(spark: SparkSession, raw_root: str, warehouse: Warehouse, start=None,
     return results
 
 
+def _whole_files(spark: SparkSession, raw_root: str, binary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    # Reliable checkpoint in the shared checkpoint folder: file bytes are read once.
+    files = list_files(spark, raw_root, binary=binary).checkpoint(eager=True)
+    return file_meta(files), text_lines(files)
+
+
 def verify_load(warehouse: Warehouse) -> DataFrame:
     """Per-file row and exception counts against the latest manifest entry, plus
     rows whose (file, load) has no manifest entry at all (a crashed load)."""
