@@ -423,3 +423,32 @@ WHERE p.initiated_at < q.occurred_at""")
 def _(m):
     from .operators.asof import after_payout_events
     return after_payout_events(m.settlement_events, m.stg_orders, m.stg_seller_payouts)
+
+
+@register("weekend_gap_count", ("fx_rates_daily", "stg_orders"), """
+SELECT r.currency, count(*) AS filled_days
+FROM fx_rates_daily r,
+     (SELECT CAST(min(created_at) AS DATE) AS s, CAST(max(created_at) AS DATE) AS e FROM stg_orders) b
+WHERE r.currency <> 'USD' AND NOT r.is_published AND r.rate_date BETWEEN b.s AND b.e
+GROUP BY r.currency""")
+def _(m):
+    b = m.stg_orders.agg(F.to_date(F.min("created_at")).alias("_s"), F.to_date(F.max("created_at")).alias("_e"))
+    r = m.fx_rates_daily.filter((F.col("currency") != "USD") & ~F.col("is_published"))
+    return (r.crossJoin(F.broadcast(b))          # one-row bounds
+            .filter(F.col("rate_date").between(F.col("_s"), F.col("_e")))
+            .groupBy("currency").agg(F.count(F.lit(1)).alias("filled_days")))
+
+
+@register("dq_empty_warn", ("batch_gaps", "orphan_dispute_reversals", "dq_losses_non_negative_rows"), """
+SELECT 'batch_gaps' AS detection_table, (SELECT count(*) FROM batch_gaps) AS row_count
+UNION ALL SELECT 'orphan_dispute_reversals', (SELECT count(*) FROM orphan_dispute_reversals)
+UNION ALL SELECT 'losses_not_negative', (SELECT count(*) FROM dq_losses_non_negative_rows)""")
+def _(m):
+    """Warn-level detection tables: a non-zero count is a finding, not a failure."""
+    parts = [("batch_gaps", m.batch_gaps), ("orphan_dispute_reversals", m.orphan_dispute_reversals),
+             ("losses_not_negative", dq.losses_not_negative(m.fct_orders, m.orphan_dispute_reversals))]
+    out = None
+    for name, df in parts:
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("detection_table"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
