@@ -50,3 +50,19 @@ def test_answer_key_coverage_all_pass(spark):
     rows = all_queries()["coverage_report"](spark, SF_SMALL).collect()
     assert len(rows) == 16
     assert [r.check for r in rows if not r.passed] == []
+
+
+def test_sign_flip_is_caught(spark, models_small):
+    """Flip the sign of one revenue line: double entry and the metric tie-out both break."""
+    from pyspark.sql import functions as F
+    from tallybook.operators.quality import sums_to_zero
+    led = models_small.ledger_entries
+    victim = led.filter(F.col("account_code") == "4000").select("ledger_line_id") \
+        .orderBy("ledger_line_id").first().ledger_line_id
+    flipped = led.withColumn("amount_usd_minor", F.when(F.col("ledger_line_id") == victim,
+                                                        -F.col("amount_usd_minor"))
+                             .otherwise(F.col("amount_usd_minor")))
+    assert sums_to_zero(flipped, "amount_usd_minor", "journal_entry_id").count() == 1
+    from tallybook.operators.quality import metrics_tie_to_ledger
+    tie = metrics_tie_to_ledger(flipped, models_small.stg_orders, models_small.metrics_monthly)
+    assert [r.metric for r in tie.collect()] == ["net_revenue"]
