@@ -30,6 +30,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # Runtime broadcast only below a measured size; above it, sort-merge.
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # Partition sizing: AQE coalesces shuffle output to ~128 MB partitions and
+        # scans split at 128 MB, so tasks stay executor-sized at any scale; on a
+        # cluster set SHUFFLE_PARTITIONS high (e.g. 4000) and let AQE coalesce.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+        .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
