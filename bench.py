@@ -45,7 +45,11 @@ def main() -> None:
         qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[k] = round(time.time() - t, 3)
     total = round(time.time() - t_all, 3)   # wall time of build + headline queries
-    sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    sf_text = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "warehouse_build_and_headline_queries", "value": total,
                       "unit": "sec", "queries": timings, "sf": sf}))
 
