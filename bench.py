@@ -19,7 +19,7 @@ from tallybook.registry import all_queries  # noqa: E402
 HEADLINE = [
     # land raw feeds + staging + ledger (first query pays for the tables it needs)
     "ledger_entries", "trial_balance", "close_package", "seller_balance_aging",
-    "fct_orders", "metrics_monthly", "seller_churn_monthly", "seller_ltv_cohorts",
+    "order_economics", "metrics_monthly", "seller_churn_monthly", "seller_ltv_cohorts",
     "payout_reconciliation", "daily_reconciliation", "order_settlement_match",
     "stg_exceptions", "dash_income_statement", "dq_sums_to_zero_entry", "dq_balance_sheet",
 ]

@@ -252,11 +252,11 @@ WHERE ledger_usd_minor <> metric_usd_minor""")
 def _(m): return dq.metrics_tie_to_ledger(m.ledger_entries, m.stg_orders, m.metrics_monthly)
 
 
-@register("dq_losses_non_negative", ("fct_orders", "orphan_dispute_reversals"), """
+@register("dq_losses_non_negative", ("order_economics", "orphan_dispute_reversals"), """
 SELECT o.order_id, o.refunded_usd_minor, o.dispute_loss_to_seller_usd_minor
-FROM fct_orders o LEFT JOIN (SELECT DISTINCT order_id FROM orphan_dispute_reversals) r ON o.order_id = r.order_id
+FROM order_economics o LEFT JOIN (SELECT DISTINCT order_id FROM orphan_dispute_reversals) r ON o.order_id = r.order_id
 WHERE o.refunded_usd_minor < 0 OR (o.dispute_loss_to_seller_usd_minor < 0 AND r.order_id IS NULL)""")
-def _(m): return dq.losses_not_negative(m.fct_orders, m.orphan_dispute_reversals)
+def _(m): return dq.losses_not_negative(m.order_economics, m.orphan_dispute_reversals)
 
 
 _LANDED = """
@@ -371,25 +371,25 @@ def _(m):
     return recon.batch_payout_carry(nets, key="processor", order="batch", value="net")
 
 
-@register("metric_by_region", ("fct_orders",), f"""
+@register("metric_by_region", ("order_economics",), f"""
 SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, buyer_region,
        CAST(sum(gmv_usd_minor) AS BIGINT) AS gmv,
        {div('sum(platform_fee_revenue_usd_minor)', 'sum(gmv_usd_minor)')} AS take_rate,
        {div('count(*) FILTER (WHERE is_refunded)', 'count(*)')} AS refund_rate,
        count(DISTINCT seller_id) AS active_sellers
-FROM fct_orders GROUP BY ALL""")
-def _(m): return metric(m.fct_orders, ["gmv", "take_rate", "refund_rate", "active_sellers"],
+FROM order_economics GROUP BY ALL""")
+def _(m): return metric(m.order_economics, ["gmv", "take_rate", "refund_rate", "active_sellers"],
                         by=["buyer_region"], grain="month")
 
 
-@register("metric_by_processor_plan_quarter", ("fct_orders",), f"""
+@register("metric_by_processor_plan_quarter", ("order_economics",), f"""
 SELECT CAST(date_trunc('quarter', order_date) AS DATE) AS order_quarter, processor, plan_name,
        CAST(sum(contribution_usd_minor) AS BIGINT) AS contribution,
        {div('sum(contribution_usd_minor)', 'sum(platform_fee_revenue_usd_minor)')} AS contribution_margin,
        {div('sum(dispute_count)', 'count(*)')} AS dispute_rate_count,
        {div('sum(dispute_loss_to_seller_usd_minor)', 'sum(gmv_usd_minor)')} AS chargeback_loss_rate
-FROM fct_orders GROUP BY ALL""")
-def _(m): return metric(m.fct_orders, ["contribution", "contribution_margin", "dispute_rate_count",
+FROM order_economics GROUP BY ALL""")
+def _(m): return metric(m.order_economics, ["contribution", "contribution_margin", "dispute_rate_count",
                                        "chargeback_loss_rate"], by=["processor", "plan_name"], grain="quarter")
 
 
@@ -446,7 +446,7 @@ UNION ALL SELECT 'losses_not_negative', (SELECT count(*) FROM dq_losses_non_nega
 def _(m):
     """Warn-level detection tables: a non-zero count is a finding, not a failure."""
     parts = [("batch_gaps", m.batch_gaps), ("orphan_dispute_reversals", m.orphan_dispute_reversals),
-             ("losses_not_negative", dq.losses_not_negative(m.fct_orders, m.orphan_dispute_reversals))]
+             ("losses_not_negative", dq.losses_not_negative(m.order_economics, m.orphan_dispute_reversals))]
     out = None
     for name, df in parts:
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("detection_table"), "row_count")

@@ -51,7 +51,7 @@ def order_ledger_rollup(ledger: DataFrame) -> DataFrame:
 
 def order_economics(orders: DataFrame, rates: DataFrame, ledger: DataFrame,
                     sellers: DataFrame, plans: DataFrame) -> DataFrame:
-    """fct_orders: one row per order.  Rates, sellers and plans are
+    """order_economics: one row per order.  Rates, sellers and plans are
     dimension-sized; the ledger roll-up is keyed by order_id like orders."""
     r = rates.select(F.col("currency").alias("_rc"), F.col("rate_date").alias("_rd"), "units_per_usd")
     led = order_ledger_rollup(ledger)
@@ -84,9 +84,9 @@ def order_economics(orders: DataFrame, rates: DataFrame, ledger: DataFrame,
         F.trunc(F.to_date("_seller_created"), "MM").alias("seller_cohort_month"))
 
 
-def unit_economics_monthly(fct_orders: DataFrame) -> DataFrame:
+def unit_economics_monthly(order_economics: DataFrame) -> DataFrame:
     """Additive cube: (month, processor, region, plan, cohort)."""
-    return fct_orders.groupBy(
+    return order_economics.groupBy(
         "processor", "buyer_region", "plan_name", "seller_cohort_month",
         F.trunc("order_date", "MM").alias("order_month")).agg(
         F.count(F.lit(1)).alias("orders"),
@@ -145,7 +145,7 @@ GRAINS = {"day": lambda c: c, "month": lambda c: F.trunc(c, "MM"),
           "quarter": lambda c: F.trunc(c, "quarter"), "year": lambda c: F.trunc(c, "year")}
 
 
-def metric(fct_orders: DataFrame, names: list[str], by: list[str] | None = None,
+def metric(order_economics: DataFrame, names: list[str], by: list[str] | None = None,
            grain: str = "month") -> DataFrame:
     """Query metrics by time grain and dimensions in one aggregation.
 
@@ -158,7 +158,7 @@ def metric(fct_orders: DataFrame, names: list[str], by: list[str] | None = None,
         kind, spec = METRICS[n]
         needed.update([spec] if kind == "simple" else spec)
     keys = [GRAINS[grain](F.col("order_date")).alias(f"order_{grain}")] + [F.col(b) for b in by]
-    agg = fct_orders.groupBy(*keys).agg(*[MEASURES[m]().alias(f"_m_{m}") for m in sorted(needed)])
+    agg = order_economics.groupBy(*keys).agg(*[MEASURES[m]().alias(f"_m_{m}") for m in sorted(needed)])
     outs = [F.col(f"order_{grain}")] + [F.col(b) for b in by]
     for n in names:
         kind, spec = METRICS[n]
@@ -167,11 +167,11 @@ def metric(fct_orders: DataFrame, names: list[str], by: list[str] | None = None,
     return agg.select(*outs)
 
 
-def seller_cohorts(fct_orders: DataFrame, sellers: DataFrame) -> DataFrame:
+def seller_cohorts(order_economics: DataFrame, sellers: DataFrame) -> DataFrame:
     """Cohort x month: seller retention and revenue retention vs month 1."""
     s = sellers.select("seller_id", F.trunc(F.to_date("created_at"), "MM").alias("cohort_month"))
     sizes = s.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    act = (fct_orders.join(s, "seller_id")
+    act = (order_economics.join(s, "seller_id")
            .groupBy("cohort_month", F.trunc("order_date", "MM").alias("activity_month"))
            .agg(F.count_distinct("seller_id").alias("active_sellers"),
                 F.sum("platform_fee_revenue_usd_minor").alias("net_revenue_usd_minor")))
@@ -191,13 +191,13 @@ def seller_cohorts(fct_orders: DataFrame, sellers: DataFrame) -> DataFrame:
                _div("net_revenue_usd_minor", "month_one_revenue_usd_minor")).alias("revenue_retention"))
 
 
-def seller_months(fct_orders: DataFrame) -> DataFrame:
+def seller_months(order_economics: DataFrame) -> DataFrame:
     """Seller x active month with arrival and departure classification.
 
     The trailing partial month is removed *before* lag/lead so a data cut-off
     never reads as churn.
     """
-    so = fct_orders.select("order_id", "seller_id", "seller_cohort_month", "plan_name", "order_date",
+    so = order_economics.select("order_id", "seller_id", "seller_cohort_month", "plan_name", "order_date",
                            "platform_fee_revenue_usd_minor", "contribution_usd_minor",
                            F.trunc("order_date", "MM").alias("activity_month"))
     bounds = so.agg(

@@ -88,9 +88,9 @@ def metrics_tie_to_ledger(ledger: DataFrame, orders: DataFrame, metrics_monthly:
     return unpivoted.filter(F.col("ledger_usd_minor") != F.col("metric_usd_minor"))
 
 
-def losses_not_negative(fct_orders: DataFrame, orphans: DataFrame) -> DataFrame:
+def losses_not_negative(order_economics: DataFrame, orphans: DataFrame) -> DataFrame:
     o = orphans.select(F.col("order_id").alias("_orphan")).distinct()
-    j = fct_orders.join(o, F.col("order_id") == F.col("_orphan"), "left")
+    j = order_economics.join(o, F.col("order_id") == F.col("_orphan"), "left")
     return j.filter((F.col("refunded_usd_minor") < 0)
                     | ((F.col("dispute_loss_to_seller_usd_minor") < 0) & F.col("_orphan").isNull())) \
         .select("order_id", "refunded_usd_minor", "dispute_loss_to_seller_usd_minor")

@@ -33,7 +33,7 @@ BUILD_WAVES = [
     ["raw.raw_processor_a", "raw.raw_processor_b", "raw.raw_bank", "raw.raw_processor_a_payouts"],
     ["settlement_events", "stg_bank"],
     ["ledger_entries", "raw.load_manifest"],
-    ["month_ends", "fct_orders"],
+    ["month_ends", "order_economics"],
     ["seller_balance_aging", "seller_months"],
     ["trial_balance"],
 ]
@@ -42,7 +42,7 @@ BUILD_WAVES = [
 # read back): the ones with several downstream readers.  Everything else is
 # a view -- a lazy plan that Catalyst folds into its reader.
 TABLE_MODELS = ("fx_rates_daily", "stg_bank", "settlement_events", "ledger_entries", "month_ends",
-                "seller_balance_aging", "trial_balance", "fct_orders", "seller_months")
+                "seller_balance_aging", "trial_balance", "order_economics", "seller_months")
 _TABLES: dict[tuple, str] = {}
 
 
@@ -228,13 +228,13 @@ class Models:
         return acc.dim_sellers(self.stg_plan_changes, self.stg_sellers, self.stg_plans)
 
     @property
-    def fct_orders(self) -> DataFrame:
-        return self._m("fct_orders", lambda: metrics.order_economics(self.stg_orders, self.fx_rates_daily, self.ledger_entries,
+    def order_economics(self) -> DataFrame:
+        return self._m("order_economics", lambda: metrics.order_economics(self.stg_orders, self.fx_rates_daily, self.ledger_entries,
                                        self.stg_sellers, self.stg_plans))
 
     @property
     def unit_economics_monthly(self) -> DataFrame:
-        return metrics.unit_economics_monthly(self.fct_orders)
+        return metrics.unit_economics_monthly(self.order_economics)
 
     @property
     def metrics_monthly(self) -> DataFrame:
@@ -242,11 +242,11 @@ class Models:
 
     @property
     def seller_cohorts(self) -> DataFrame:
-        return metrics.seller_cohorts(self.fct_orders, self.stg_sellers)
+        return metrics.seller_cohorts(self.order_economics, self.stg_sellers)
 
     @property
     def seller_months(self) -> DataFrame:
-        return self._m("seller_months", lambda: metrics.seller_months(self.fct_orders))
+        return self._m("seller_months", lambda: metrics.seller_months(self.order_economics))
 
     @property
     def seller_churn_monthly(self) -> DataFrame:

@@ -49,7 +49,7 @@ MODEL_KEYS = [
     "ledger_entries", "month_ends", "seller_balance_aging", "fx_remeasurement",
     "bad_debt_allowance", "journal_close",
     # marts
-    "general_ledger", "trial_balance", "close_package", "dim_sellers", "fct_orders",
+    "general_ledger", "trial_balance", "close_package", "dim_sellers", "order_economics",
     "unit_economics_monthly", "metrics_monthly", "seller_cohorts", "seller_months",
     "seller_churn_monthly", "seller_ltv_cohorts", "order_settlement_match",
     "payout_reconciliation", "daily_reconciliation", "orphan_dispute_reversals", "batch_gaps",

@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 def test_parallel_queries_on_a_cold_dataset(spark):
     cold = SF_SMALL + "/"                       # same data, fresh cache key
     q = all_queries()
-    keys = ["trial_balance", "payout_reconciliation", "fct_orders", "dq_balance_sheet"]
+    keys = ["trial_balance", "payout_reconciliation", "order_economics", "dq_balance_sheet"]
     with ThreadPoolExecutor(max_workers=4) as pool:
         counts = list(pool.map(lambda k: q[k](spark, cold).count(), keys))
     assert counts == [q[k](spark, SF_SMALL).count() for k in keys]

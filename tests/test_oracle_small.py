@@ -7,7 +7,7 @@ import __spark_entry__ as se
 from conftest import SF_SMALL
 
 KEYS = ["stg_processor_b_lines", "stg_exceptions", "fx_rates_daily", "journal_settlements", "ledger_entries",
-        "seller_balance_aging", "trial_balance", "close_package", "fct_orders", "seller_months",
+        "seller_balance_aging", "trial_balance", "close_package", "order_economics", "seller_months",
         "seller_ltv_cohorts", "payout_reconciliation", "daily_reconciliation", "dash_ltv_cohort",
         "dq_losses_non_negative", "late_row_report", "batch_payout_carry", "metric_by_region"]
 

@@ -18,7 +18,7 @@ def _ledger(spark, rows):
 
 
 def test_lookback_rebuild_replaces_touched_months_only(spark):
-    path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/fct_ledger"
+    path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/ledger_table"
     v1 = [("a", dt.date(2025, 1, 5), "1000", "p", 10), ("b", dt.date(2025, 2, 5), "1000", "p", 20),
           ("c", dt.date(2025, 3, 20), "1000", "p", 30)]
     write_ledger(spark, _ledger(spark, v1), path)
@@ -58,7 +58,7 @@ def test_stream_ingest_equals_batch_and_is_incremental(spark):
 
 
 def test_publish_pipeline_ledger_twice_is_stable(spark, models_small):
-    path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/fct_ledger_entries"
+    path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/ledger_table"
     first = models_small.publish_ledger(path)
     assert first["cutoff"] is None
     n1 = spark.read.parquet(path).count()
