@@ -135,3 +135,14 @@ def test_split_path_for_large_files_equals_whole_file_path(spark, dirs):
     assert all(r.checksum_sha256.startswith("xxh64sum:") for r in split.manifest().collect())
     # unchanged files are skipped on the split path too
     assert set(_status(ingest(spark, raw, split, large_file_bytes=0)).values()) == {"skipped"}
+
+
+def test_out_of_order_header_is_rejected(spark):
+    raw = tempfile.mkdtemp(prefix="raw-", dir="/tmp")
+    cols = list(CONTRACTS["fx_reference_rates"].header)
+    cols[0], cols[1] = cols[1], cols[0]
+    _write(raw, "fx/reference_rates_2025-07-10.csv", ",".join(cols) + "\nUSD,2025-07-10,EUR,0.925000\n")
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    assert [r.status for r in ingest(spark, raw, wh).collect()] == ["rejected"]
+    assert [r.reason for r in wh.exceptions().collect()] == ["header columns out of order"]
+    assert wh.raw_table("fx_reference_rates").count() == 0
