@@ -67,14 +67,19 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we create a scratch one.
+    ``spark.checkpoint.dir`` names a folder that the driver and all executors
+    share; it is used as it is.  Only a session in one process (``local[...]``)
+    may go without it and then gets a scratch folder; on a cluster a missing
+    setting is an error, as a machine's own folder would hold partial tables.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="tallybook-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallybook-ckpt-", dir="/tmp"))
+    return sc._jsc.sc().getCheckpointDir().get()
