@@ -186,8 +186,8 @@ def _emit_windows(width: int, places: bool):
                 at, a, b = at[hit], a[hit], b[hit]
                 doc = w.doc[at]
                 out = {"w1": signed(a), "w2": signed(b), "id": _ids(batch, lo, hi)[doc]}
-                if places:
-                    out |= {"t": _ids(batch, lo, hi, "t")[doc], "place": at - w.first[doc]}
+                if places:  # a text's mark and the window's place in one number
+                    out["spot"] = ((_ids(batch, lo, hi, "t")[doc] & 0x7FFFFFFF) << 32) | (at - w.first[doc])
                 else:
                     rows = _distinct(doc, a, b)
                     out = {c: v[rows] for c, v in out.items()}
@@ -233,35 +233,58 @@ KEPT = "id long, t long, n_words long, n_removed long, kept_sha256 string"
 NAMELESS = -(2**63)
 
 
-def repeated_windows(spark: SparkSession, docs: DataFrame, width: int, scratch: Scratch, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(base, cuts): texts as (id, t, text) and, for the texts that lose something, (id, t, text, places)."""
+def exact_copies(base: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, t) of the texts that a smaller id holds, too: their last symbol, the whole text, is equal."""
+    whole = scratch.save(base.where("text IS NOT NULL").select("id", "t", F.md5("text").alias("whole")), "whole")
+    first = scratch.save(whole.groupBy("whole").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("whole", "lo"), "wholes")
+    return scratch.save(whole.join(first, "whole").where("lo < id").select("id", "t").distinct(), "copies")
+
+
+def repeated_windows(spark: SparkSession, docs: DataFrame, width: int, scratch: Scratch, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(base, copies, cuts): texts as (id, t, text), those that are whole copies of a smaller id's, and
+    for the others that lose something (id, t, text, places)."""
     base = pick(docs, doc_id=doc_id, text=text).select(F.coalesce("doc_id", F.lit(NAMELESS).cast("long")).alias("id"), F.xxhash64("text").alias("t"), "text")
+    copies = exact_copies(base, scratch)
+    # Ids all of whose texts are copies: their windows are all held by a smaller id, so nobody else needs them.
+    spent = base.select("id", "t").distinct().join(copies.withColumn("copy", F.lit(1)), ["id", "t"], "left").groupBy("id").agg(F.count("copy").alias("c"), F.count(F.lit(1)).alias("n")).where("c = n").select("id")
+    spent = scratch.save(spent, "spent")
     names = base.select("id", "text").mapInArrow(_emit_names(width), "name long, id long")
     shared = scratch.save(names.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("name"), "shared")
     asked = scratch.save(names.join(shared, "name").groupBy("id").agg(F.collect_set("name").alias("names")), "asked")
-    held = scratch.save(base.join(asked, "id"), "held")
-    scratch.drop("shared", "asked")
+    held = scratch.save(base.join(asked.join(spent, "id", "left_anti"), "id"), "held")
+    scratch.drop("shared", "asked", "whole", "wholes")
     seen = held.mapInArrow(_emit_windows(width, False), "w1 long, w2 long, id long")
     first = scratch.save(seen.groupBy("w1", "w2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("w1", "w2", "lo"), "first")
-    found = held.mapInArrow(_emit_windows(width, True), "w1 long, w2 long, id long, t long, place long")
-    later = found.join(first, ["w1", "w2"]).where("lo < id").groupBy("id", "t").agg(F.collect_set("place").alias("places"))
+    found = held.mapInArrow(_emit_windows(width, True), "w1 long, w2 long, id long, spot long")
+    later = found.join(first, ["w1", "w2"]).where("lo < id").groupBy("id", F.shiftright("spot", 32).alias("mark")).agg(F.collect_set(F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))).alias("places"))
     later = scratch.save(later, "later")
-    return base, held.select("id", "t", "text").join(later, ["id", "t"])
+    scratch.drop("first")
+    mark = F.col("t").bitwiseAND(F.lit(0x7FFFFFFF)).alias("mark")
+    return base, copies, held.select("id", "t", "text", mark).join(later, ["id", "mark"]).select("id", "t", "text", "places")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
     scratch = scratch or Scratch(spark, "recompress")
-    base, cuts = repeated_windows(spark, docs, width, scratch, doc_id, text)
-    changed = scratch.save(cuts.mapInArrow(_keep(width, True, False), KEPT).dropDuplicates(["id", "t"]), "changed").select(F.col("id").alias("i"), F.col("t").alias("s"), F.col("n_removed").alias("r"), F.col("kept_sha256").alias("k"))
+    base, copies, cuts = repeated_windows(spark, docs, width, scratch, doc_id, text)
+    changed = scratch.save(cuts.mapInArrow(_keep(width, True, False), KEPT).dropDuplicates(["id", "t"]), "changed")
+    scratch.drop("held", "later")
+    changed = changed.select("id", "t", F.col("n_removed").alias("r"), F.col("kept_sha256").alias("k"), F.lit(False).alias("copy"))
+    gone = copies.select("id", "t", F.lit(None).cast("long").alias("r"), F.lit(None).cast("string").alias("k"), F.lit(True).alias("copy"))
+    # an id may have one text that is a copy and be asked for another: the copy's line counts
+    known = scratch.save(changed.join(copies, ["id", "t"], "left_anti").unionAll(gone), "known")
     whole = base.mapInArrow(_keep(width, False, False), KEPT)
-    out = whole.join(changed, (whole["id"] == changed["i"]) & (whole["t"] == changed["s"]), "left")
-    return out.select(F.when(F.col("id") != NAMELESS, F.col("id")).alias("doc_id"), "n_words", F.coalesce("r", "n_removed").alias("n_removed"), F.coalesce("k", "kept_sha256").alias("kept_sha256"))
+    out = whole.join(known, ["id", "t"], "left")
+    all_gone = F.col("copy") & (F.col("n_words") >= width)
+    removed = F.when(all_gone, F.col("n_words")).otherwise(F.coalesce("r", "n_removed"))
+    sha = F.when(all_gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("k", "kept_sha256"))
+    return out.select(F.when(F.col("id") != NAMELESS, F.col("id")).alias("doc_id"), "n_words", removed.alias("n_removed"), sha.alias("kept_sha256"))
 
 
 def kept_texts(spark: SparkSession, docs: DataFrame, width: int = WIDTH, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, kept_text): the texts that lose words, with the kept words joined by one space."""
     scratch = scratch or Scratch(spark, "recompress")
-    _, cuts = repeated_windows(spark, docs, width, scratch, doc_id, text)
-    out = cuts.mapInArrow(_keep(width, True, True), KEPT + ", kept_text string")
+    _, copies, cuts = repeated_windows(spark, docs, width, scratch, doc_id, text)
+    out = cuts.join(copies, ["id", "t"], "left_anti").mapInArrow(_keep(width, True, True), KEPT + ", kept_text string").select("id", "kept_text")
+    out = out.unionAll(copies.join(pick(docs, doc_id=doc_id, text=text).select(F.coalesce("doc_id", F.lit(NAMELESS).cast("long")).alias("id"), F.xxhash64("text").alias("t"), "text"), ["id", "t"]).where(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")) >= width).select("id", F.lit("").alias("kept_text")))
     return out.select(F.when(F.col("id") != NAMELESS, F.col("id")).alias("doc_id"), "kept_text")
