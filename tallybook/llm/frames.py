@@ -28,7 +28,7 @@ class Scratch:
     def save(self, df: DataFrame, table: str, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once and return a reader over the files."""
         path, schema = f"{self.root}/{table}", df.schema
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)

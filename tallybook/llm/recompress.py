@@ -13,7 +13,8 @@ ranges (of at most ``REACH`` words) lie inside the window the one with the small
 hash is its anchor, and the words of that range name it (windows without one are
 named whole).  Equal windows have equal anchors, so only
 documents that share an anchor name with another document can share a window.
-Those windows are then compared by 128-bit names over all their words.
+Those windows are then compared by 96-bit names over all their words (two
+independent hashes).
 
 Defined cases: null and empty texts have no words; fewer than ``width`` words
 have no window; a null ``doc_id`` comes before all others; rows with equal
@@ -185,7 +186,7 @@ def _emit_windows(width: int, places: bool):
                 _, b = windows(h1, w.doc, width)
                 at, a, b = at[hit], a[hit], b[hit]
                 doc = w.doc[at]
-                out = {"w1": signed(a), "w2": signed(b), "id": _ids(batch, lo, hi)[doc]}
+                out = {"w1": signed(a), "w2": signed(b) >> 32, "id": _ids(batch, lo, hi)[doc]}
                 if places:  # a text's mark and the window's place in one number
                     out["spot"] = ((_ids(batch, lo, hi, "t")[doc] & 0x7FFFFFFF) << 32) | (at - w.first[doc])
                 else:

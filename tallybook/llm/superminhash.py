@@ -8,9 +8,9 @@ component can improve.
 
 Documents with the same word sequence form one class before anything is
 compared.  Class representatives meet in band buckets.  No bucket emits all its
-pairs: in each round a few hubs (1, 2, 4, ... by position) are compared with the
-bucket's later members that are not yet in the hub's component, exact Jaccard is
-computed on the full shingle sets, and the true links go into a distributed
+pairs: in each round a few hubs (1, 4, 16, ... by position) are compared with the
+bucket's later members that are not yet in the hub's component and whose sizes and
+sketches (four bits of each component) allow the link, exact Jaccard is computed on the full shingle sets, and the true links go into a distributed
 union-find (large star / small star).  Rounds go on until every pair of a bucket
 has been compared or is in one component, so no bucket and no candidate is capped.
 
@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from .frames import Scratch, any_rows, pick
 from .words import U, Words, mix, pieces, signed, text_bytes
 
-SIZE = 256  # components
-ROWS = 6  # components of a band
+SIZE = 512  # components
+ROWS = 7  # components of a band
 BANDS = SIZE // ROWS
-CHUNK = 1 << 16  # elements whose permutations are held at once
+CHUNK = 1 << 15  # elements whose permutations are held at once
 
 
 def shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ def signatures(doc: np.ndarray, name: np.ndarray, n_docs: int, size: int = SIZE)
     worst = U(0xFFFFFFFFFFFFFFFF)
     sig = np.full((n_docs, size), worst, U)
     flat = sig.reshape(-1)
-    # Documents are dealt in runs, so that an element's permutation (one byte a component) stays in cache.
+    # Documents are dealt in runs, so that an element's permutation (two bytes a component) stays in cache.
     first = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n_docs))]) if n_docs else np.zeros(1, np.int64)
     lo = 0
     while lo < n_docs:
@@ -101,11 +101,9 @@ def _deal(flat: np.ndarray, doc: np.ndarray, name: np.ndarray, lo: int, hi: int,
         open_ = sig[lo:hi].max(axis=1) >= (U(j + 1) << U(32))
         go = open_[doc[live] - lo]
         if perm is None:
-            if size > 256:
-                raise ValueError("at most 256 components")
             kept = np.flatnonzero(go)
-            perm = np.empty((len(kept), size), np.uint8)
-            perm[:] = np.arange(size, dtype=np.uint8)
+            perm = np.empty((len(kept), size), np.uint16)
+            perm[:] = np.arange(size, dtype=np.uint16)
             perm[np.arange(len(kept)), k[kept]] = 0
         elif not go.all():
             perm = perm[go]
@@ -120,7 +118,28 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return acc
 
 
-SIGNED = "doc_id long, t long, s1 long, s2 long, n_shingles long, bands array<long>"
+SIGNED = "doc_id long, t long, s1 long, s2 long, n_shingles long, bands array<long>, sketch array<long>"
+
+
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """Four bits of each component, 16 components a word."""
+    low = (mix(sig) & U(15)).reshape(len(sig), sig.shape[1] // 16, 16)
+    return np.bitwise_or.reduce(low << (U(4) * np.arange(16, dtype=U)), axis=2)
+
+
+def alike(a, b, percent: int):
+    """Condition on two sketches: as many equal components as a pair at the limit has but for one in
+    some hundred thousand (4.5 standard deviations below the mean); the full sets decide afterwards."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    least = int(SIZE * p - 4.5 * (SIZE * p * (1 - p)) ** 0.5)
+
+    def unequal(x, y):
+        d = x.bitwiseXOR(y)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.aggregate(F.zip_with(a, b, unequal), F.lit(0), lambda n, x: n + x) <= SIZE - least
 
 
 def _sign(k: int, lower: bool):
@@ -139,6 +158,7 @@ def _sign(k: int, lower: bool):
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id").slice(lo, hi - lo), "t": batch.column("t").slice(lo, hi - lo), "s1": pa.array(ident[:, 0]), "s2": pa.array(ident[:, 1]), "n_shingles": pa.array(n),
                     "bands": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(keys.reshape(-1, BANDS)[n > 0].reshape(-1))),
+                    "sketch": pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * (SIZE // 16), pa.int32()), pa.array(signed(sketches(sig).reshape(-1)))),
                 })
 
     return run
@@ -206,12 +226,13 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
     node = F.coalesce("doc_id", F.lit(NAMELESS).cast("long"))
     base = pick(docs, doc_id=doc_id, text=text)
     marked = scratch.save(base.withColumn("t", F.xxhash64("text")).mapInArrow(_sign(k, lower), SIGNED), "signed")
-    reps = scratch.save(marked.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(node).alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "reps")
+    reps = scratch.save(marked.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(node).alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "reps")
     met = reps.select("id", "n", F.explode("bands").alias("key"))
     shared = scratch.save(met.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("key"), "shared")
     members = scratch.save(met.join(shared, "key").select("key", "id", "n"), "members")
     asked = scratch.save(members.select("id").distinct(), "asked")
     texts = scratch.save(base.withColumn("id", node).join(asked, "id", "left_semi").select("id", "text"), "texts")
+    drawn = scratch.save(reps.join(asked, "id", "left_semi").groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "drawn")  # an id with several texts has none
     label = links = tested = None
     round_ = 0
     while True:
@@ -222,12 +243,12 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
         open_ = scratch.save(cur.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key"), f"open{round_}")
         if not any_rows(open_):
             break
-        live = scratch.save(cur.join(open_, "key"), f"live{round_}")
+        live = scratch.save(cur.join(open_, "key").join(drawn, "id"), f"live{round_}")
         # The first members of each bucket are its hubs; the limit is taken in each task before rows move.
-        ranked = live.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= (1 << round_))
-        hubs = scratch.save(ranked.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")), f"hubs{round_}")
+        ranked = live.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= (1 << 2 * round_))
+        hubs = scratch.save(ranked.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("sketch").alias("hub_sketch")), f"hubs{round_}")
         upto = scratch.save(hubs.groupBy("key").agg(F.max("hub").alias("upto")), f"upto{round_}")
-        pairs = live.join(hubs, "key").where((F.col("id") > F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
+        pairs = live.join(hubs, "key").where((F.col("id") > F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & F.coalesce(alike(F.col("sketch"), F.col("hub_sketch"), percent), F.lit(True)))
         pairs = pairs.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -247,7 +268,7 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
     if label is not None:
         own = own.join(label, own["id"] == label["node"], "left").select("s1", "s2", F.coalesce("component", "id").alias("id"))
     own = scratch.save(own, "classes")
-    scratch.drop("texts")
+    scratch.drop("texts", "drawn")
     out = marked.select("doc_id", "t", "n_shingles", "s1", "s2").join(own, ["s1", "s2"], "left")
     component = F.when(F.col("id").isNull(), F.col("doc_id")).when(F.col("id") != NAMELESS, F.col("id"))
     out = out.withColumn("component_id", component)
