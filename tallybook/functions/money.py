@@ -2,8 +2,8 @@
 
 Everything here is built from ``pyspark.sql.functions`` so it stays inside
 whole-stage codegen and never leaves the JVM.  Money is integer minor units
-(``bigint``) everywhere; FX rates are ``decimal(18,6)`` quoted as units of
-currency per 1 USD.
+(``bigint``) everywhere; FX rates are decimals quoted as units of currency per
+1 USD.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ REGION_BY_COUNTRY = {
     "JP": "APAC",
 }
 
-RATE_SCALE = 1_000_000  # rates carry 6 decimals
+RATE_SCALE = 1_000_000_000  # rates carry up to 9 decimals
 
 
 def _c(x) -> Column:
@@ -39,34 +39,30 @@ def to_minor_units(amount, currency) -> Column:
     zero_dec = F.upper(currency).isin(*ZERO_DECIMAL_CURRENCIES)
     return (
         F.when(zero_dec,
-               F.when(amount.rlike(r"^-?\d{1,15}\z"), amount.try_cast("bigint")))
+               F.when(amount.rlike(r"^-?\d+\z"), amount.try_cast("bigint")))
         .otherwise(
-            F.when(amount.rlike(r"^-?\d{1,15}\.\d{2}\z"),
-                   (amount.try_cast("decimal(20,2)") * F.lit(100)).cast("bigint")))
+            F.when(amount.rlike(r"^-?\d+\.\d{2}\z"),
+                   F.regexp_replace(amount, r"\.", "").try_cast("bigint")))
     )
 
 
-def rate_micro(rate) -> Column:
-    """decimal(18,6) rate -> bigint micro-units (exact)."""
-    return (_c(rate) * F.lit(RATE_SCALE)).cast("bigint")
-
-
 def to_usd_minor(amount_minor, currency, units_per_usd) -> Column:
     """Minor units of ``currency`` -> USD minor units, banker's rounding once.
 
-    Exact integer form: with R = rate * 10^6, n = m * 10^6 (m * 10^8 for a
-    zero-decimal currency), q = n div R and r = n % R (both truncate toward
-    zero); step q away from zero when 2|r| > R, or 2|r| = R and q is odd.
-    Bound: |n| must fit in int64, i.e. |m| < 9.2e10 for JPY, 9.2e12 others.
+    Exact integer form in decimal(38,0): with R = rate * 10^9, n = m * 10^9
+    (m * 10^11 for a zero-decimal currency), q = n div R and r = n % R (both
+    truncate toward zero); step q away from zero when 2|r| > R, or 2|r| = R
+    and q is odd.  Every bigint m fits (|n| < 10^31).
     """
     m, ccy = _c(amount_minor), _c(currency)
-    big_r = rate_micro(units_per_usd)
+    whole = "decimal(38,0)"
+    big_r = (_c(units_per_usd).cast("decimal(25,9)") * F.lit(RATE_SCALE)).cast(whole)
     scale = F.when(ccy.isin(*ZERO_DECIMAL_CURRENCIES), F.lit(100 * RATE_SCALE)) \
-        .otherwise(F.lit(RATE_SCALE)).cast("bigint")
-    n = m.cast("bigint") * scale
+        .otherwise(F.lit(RATE_SCALE)).cast("decimal(12,0)")
+    n = (m.cast("decimal(20,0)") * scale).cast(whole)
     q = _int_div(n, big_r)
-    r = n - q * big_r
-    twice = F.abs(r) * F.lit(2)
+    r = (n % big_r).cast(whole)
+    twice = (F.abs(r) * F.lit(2)).cast(whole)
     bump = F.when((twice > big_r) | ((twice == big_r) & (q % 2 != 0)),
                   F.signum(n).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     converted = q + bump

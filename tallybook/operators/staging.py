@@ -27,22 +27,19 @@ def _iso_ts(c: str) -> Column:
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str], descending: bool = False) -> DataFrame:
     """``qualify row_number() over (partition by keys order by order) = 1``,
-    skew-proof.
+    skew-proof and in one pass.
 
     A window would send every copy of one key to one task; a key holding a
-    third of all rows (a flood of re-sent copies) would stall it.  Instead
-    the winning order value per key comes from a partial (map-side)
-    aggregate -- one row per key and task before the shuffle -- and is joined
-    back on (keys + order columns), a composite key that spreads a hot key's
-    copies across tasks.  (keys + order) must identify a row, as the lineage
-    columns (file, line) do.
+    third of all rows (a flood of re-sent copies) would stall it.  The winner
+    is the smallest (largest) struct of the order columns and then all others:
+    a partial aggregate leaves one row per key and task before the shuffle,
+    the input is read once, and a tie still gives exactly one row.
     """
     pick = F.max if descending else F.min
-    win = df.groupBy(*keys).agg(pick(F.struct(*order)).alias("_w"))
-    win = win.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order])
-    # null-safe equality: a null order value (e.g. unparsed date) still matches
-    cond = [df[c].eqNullSafe(win[c]) for c in keys + order]
-    return df.join(win, cond, "left_semi")
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    ranked = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
+    win = df.groupBy(*keys).agg(pick(ranked).alias("_w"))
+    return win.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
 
 
 # -- app database --------------------------------------------------------------

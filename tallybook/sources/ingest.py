@@ -202,7 +202,7 @@ def parse_files(files: DataFrame, all_lines: DataFrame, load_id: str, loaded_at:
 
     data = (lines.filter(F.col("_pos") > 0)
             .join(reason.filter(F.col("reason").isNull()).select("file_name"), "file_name", "left_semi"))
-    n_fields = F.size(F.split(F.regexp_replace("_line", r'"([^"]|"")*"', "q"), ",", -1))
+    n_fields = F.size(F.split(F.regexp_replace("_line", r'"[^"]*+(?:""[^"]*+)*+"', "q"), ",", -1))
     data = data.withColumn("_n", F.when(F.col("_line") == "", F.lit(0)).otherwise(n_fields)) \
         .withColumn("_want", F.size("_expected")) \
         .withColumn("line_number", (F.col("_pos") + 1).cast("bigint"))
@@ -218,7 +218,7 @@ def parse_files(files: DataFrame, all_lines: DataFrame, load_id: str, loaded_at:
     for c in contracts.values():
         ddl = ", ".join(f"`{name}` STRING" for name in c.columns)
         parsed = good.filter(F.col("source") == c.table).select(
-            "file_name", "line_number", F.from_csv("_line", ddl, {"mode": "PERMISSIVE"}).alias("_r"))
+            "file_name", "line_number", F.from_csv("_line", ddl, {"mode": "PERMISSIVE", "escape": '"', "maxCharsPerColumn": "-1"}).alias("_r"))
         rows[c.table] = parsed.select(
             *[F.coalesce(F.col(f"_r.{name}"), F.lit("")).alias(name) for name in c.columns],
             F.col("file_name").alias("_source_file"), F.col("line_number").alias("_source_line"),
