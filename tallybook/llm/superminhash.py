@@ -8,11 +8,12 @@ component can improve.
 
 Documents with the same word sequence form one class before anything is
 compared.  Class representatives meet in band buckets.  No bucket emits all its
-pairs: in each round a few hubs (1, 4, 16, ... by position) are compared with the
+pairs: in each round a few hubs (1, 16, 256, ... by position) are compared with the
 bucket's later members that are not yet in the hub's component and whose sizes and
 sketches (four bits of each component) allow the link, exact Jaccard is computed on the full shingle sets, and the true links go into a distributed
-union-find (large star / small star).  Rounds go on until every pair of a bucket
-has been compared or is in one component, so no bucket and no candidate is capped.
+union-find (large star / small star, one step a round, run to its end after the last).
+Rounds go on until every pair of a bucket has been compared or has one label, so no
+bucket and no candidate is capped.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with
 nothing; fewer than ``k`` words count as one shingle; rows with equal ``doc_id``
@@ -188,28 +189,35 @@ def _verify(k: int, lower: bool, percent: int):
     return run
 
 
-def connected(spark: SparkSession, edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
-    """(node, component) of the nodes on ``edges`` (a, b), a != b; component: smallest node.
+def star(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """One large-star and one small-star step on edges (u, v) with u > v; what was connected stays so.
 
-    Alternates large-star and small-star on edges (u, v) with u > v.  Each step is a partial
-    aggregate (smallest neighbour) and a join with it; the aggregate is read back from the
-    shared folder, so a node with very many links is split by the adaptive skew join."""
-    cur = scratch.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{tag}-e0")
-    i, last = 0, _state(cur)
+    Each step is a partial aggregate (smallest neighbour) and a join with it; the aggregate is
+    read back from the shared folder, so a node with very many links is split by the adaptive
+    skew join."""
+    both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{tag}-m")
+    large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = scratch.save(large.where("u != v").distinct(), f"{tag}-l")
+    down = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-d")
+    small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionAll(down.select("u", F.col("m").alias("v")))
+    out = scratch.save(small.distinct(), f"{tag}-e")
+    scratch.drop(f"{tag}-m", f"{tag}-l", f"{tag}-d")
+    return out
+
+
+def connected(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """(node, component) of the larger nodes on ``edges`` (u, v), u > v; component: smallest node.
+    The smallest node of a component is not listed.  Steps go on until the edges stay as they are."""
+    i, last = 0, _state(edges)
     while True:
-        i += 1
-        both = cur.unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{tag}-m{i}")
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.save(large.where("u != v").distinct(), f"{tag}-l{i}")
-        down = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-d{i}")
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionAll(down.select("u", F.col("m").alias("v")))
-        cur = scratch.save(small.distinct(), f"{tag}-e{i}")
-        scratch.drop(f"{tag}-e{i - 1}", f"{tag}-m{i}", f"{tag}-l{i}", f"{tag}-d{i}")
-        now = _state(cur)
+        edges = star(edges, scratch, f"{tag}{i}")
+        now = _state(edges)
+        if i:
+            scratch.drop(f"{tag}{i - 1}-e")
         if now == last:
-            return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        last = now
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        i, last = i + 1, now
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -230,24 +238,24 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
     met = reps.select("id", "n", F.explode("bands").alias("key"))
     shared = scratch.save(met.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1").select("key"), "shared")
     members = scratch.save(met.join(shared, "key").select("key", "id", "n"), "members")
-    asked = scratch.save(members.select("id").distinct(), "asked")
+    asked = members.select("id").distinct()
     texts = scratch.save(base.withColumn("id", node).join(asked, "id", "left_semi").select("id", "text"), "texts")
     drawn = scratch.save(reps.join(asked, "id", "left_semi").groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "drawn")  # an id with several texts has none
-    label = links = tested = None
+    todo, label, edges, tested = members, None, None, None
     round_ = 0
     while True:
-        cur = members.withColumn("comp", F.col("id"))
+        cur = todo.withColumn("comp", F.col("id"))
         if label is not None:
-            cur = members.join(label, members["id"] == label["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-        cur = scratch.save(cur, f"cur{round_}")
+            cur = todo.join(label, todo["id"] == label["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
         open_ = scratch.save(cur.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key"), f"open{round_}")
         if not any_rows(open_):
             break
         live = scratch.save(cur.join(open_, "key").join(drawn, "id"), f"live{round_}")
+        if round_:
+            scratch.drop(f"live{round_ - 1}", f"hubs{round_ - 1}")
         # The first members of each bucket are its hubs; the limit is taken in each task before rows move.
-        ranked = live.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= (1 << 2 * round_))
+        ranked = live.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= (1 << 4 * round_))
         hubs = scratch.save(ranked.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("sketch").alias("hub_sketch")), f"hubs{round_}")
-        upto = scratch.save(hubs.groupBy("key").agg(F.max("hub").alias("upto")), f"upto{round_}")
         pairs = live.join(hubs, "key").where((F.col("id") > F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & F.coalesce(alike(F.col("sketch"), F.col("hub_sketch"), percent), F.lit(True)))
         pairs = pairs.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         if tested is not None:
@@ -257,13 +265,17 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
         with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         new = scratch.save(with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, lower, percent), "a long, b long").distinct(), f"links{round_}")
         tested = pairs if tested is None else tested.unionAll(pairs)
-        links = new if links is None else links.unionAll(new)
         if any_rows(new):
-            label = scratch.save(connected(spark, links, scratch, f"cc{round_}"), f"label{round_}")
+            # One step a round: nodes with one label are connected, which is all that pruning needs.
+            new = new.select(F.col("b").alias("u"), F.col("a").alias("v"))
+            edges = star(new if edges is None else edges.unionAll(new), scratch, f"round{round_}")
+            label = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         # Hubs have met every later member; the rest of the bucket goes on.
-        members = scratch.save(live.join(upto, "key").where(F.col("id") > F.col("upto")).select("key", "id", "n"), f"members{round_}")
-        scratch.drop(*(f"{t}{round_}" for t in ("cur", "open", "live", "hubs", "upto")), *(["members", "shared", "asked"] if not round_ else [f"members{round_ - 1}"]))
+        todo = live.select("key", "id", "n").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        scratch.drop(f"open{round_}", *([] if round_ else ["members", "shared"]))
         round_ += 1
+    if edges is not None:
+        label = connected(edges, scratch, "classes")
     own = reps.select("s1", "s2", "id")
     if label is not None:
         own = own.join(label, own["id"] == label["node"], "left").select("s1", "s2", F.coalesce("component", "id").alias("id"))
