@@ -9,7 +9,8 @@ component can improve.
 Documents with the same word sequence form one class before anything is
 compared.  Class representatives meet in band buckets.  No bucket emits all its
 pairs: in each round a few hubs (1, 16, 256, ... by position) are compared with the
-bucket's later members that are not yet in the hub's component and whose sizes and
+bucket's later members that are not yet in the hub's component, have met the hub in no
+other bucket (each pair has one bucket: that of its smallest common key) and whose sizes and
 sketches (four bits of each component) allow the link, exact Jaccard is computed on the full shingle sets, and the true links go into a distributed
 union-find (large star / small star, one step a round, run to its end after the last).
 Rounds go on until every pair of a bucket has been compared or has one label, so no
@@ -240,8 +241,8 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
     members = scratch.save(met.join(shared, "key").select("key", "id", "n"), "members")
     asked = members.select("id").distinct()
     texts = scratch.save(base.withColumn("id", node).join(asked, "id", "left_semi").select("id", "text"), "texts")
-    drawn = scratch.save(reps.join(asked, "id", "left_semi").groupBy("id").agg(F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "drawn")  # an id with several texts has none
-    todo, label, edges, tested = members, None, None, None
+    drawn = scratch.save(reps.join(asked, "id", "left_semi").groupBy("id").agg(*[F.when(F.count(F.lit(1)) == 1, F.first(c)).alias(c) for c in ("sketch", "bands")]), "drawn")  # an id with several texts has none
+    todo, label, edges = members, None, None
     round_ = 0
     while True:
         cur = todo.withColumn("comp", F.col("id"))
@@ -255,16 +256,14 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
             scratch.drop(f"live{round_ - 1}", f"hubs{round_ - 1}")
         # The first members of each bucket are its hubs; the limit is taken in each task before rows move.
         ranked = live.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= (1 << 4 * round_))
-        hubs = scratch.save(ranked.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("sketch").alias("hub_sketch")), f"hubs{round_}")
-        pairs = live.join(hubs, "key").where((F.col("id") > F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & F.coalesce(alike(F.col("sketch"), F.col("hub_sketch"), percent), F.lit(True)))
-        pairs = pairs.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, f"pairs{round_}")
+        hubs = scratch.save(ranked.select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"), F.col("sketch").alias("hub_sketch"), F.col("bands").alias("hub_bands")), f"hubs{round_}")
+        # Two documents share many buckets; they are compared in the one of the smallest key only.
+        here = F.coalesce(F.array_min(F.array_intersect("bands", "hub_bands")) == F.col("key"), F.lit(True))
+        pairs = live.join(hubs, "key").where((F.col("id") > F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & F.coalesce(alike(F.col("sketch"), F.col("hub_sketch"), percent), F.lit(True)) & here)
+        pairs = scratch.save(pairs.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), f"pairs{round_}")
         with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         new = scratch.save(with_b.select("a", "b", "text_a", "text_b").mapInArrow(_verify(k, lower, percent), "a long, b long").distinct(), f"links{round_}")
-        tested = pairs if tested is None else tested.unionAll(pairs)
         if any_rows(new):
             # One step a round: nodes with one label are connected, which is all that pruning needs.
             new = new.select(F.col("b").alias("u"), F.col("a").alias("v"))
@@ -272,7 +271,7 @@ def classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75,
             label = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
         # Hubs have met every later member; the rest of the bucket goes on.
         todo = live.select("key", "id", "n").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-        scratch.drop(f"open{round_}", *([] if round_ else ["members", "shared"]))
+        scratch.drop(f"open{round_}", f"pairs{round_}", *([] if round_ else ["members", "shared"]))
         round_ += 1
     if edges is not None:
         label = connected(edges, scratch, "classes")
