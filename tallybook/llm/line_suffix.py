@@ -26,6 +26,8 @@ in the order of a hash of the text; no rows give no rows; other columns are igno
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from .frames import Scratch, any_rows, let, pick, shuffle_partitions
 
 MIN_LINES = 2
 NAMELESS = -(2**63)
+#: Rounds of extension in one job, before their rows are stored.
+ROUNDS_STORED = 3
 _AT = ["d", "t", "i"]
 
 
@@ -45,27 +49,26 @@ def line_ids(docs: DataFrame) -> DataFrame:
 
 def first_round(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """(d, t, i, name) of the lines that occur at two places or more."""
-    names = scratch.save(lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "names0")
+    names = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     return scratch.save(lines.join(names, "id").select(*_AT, F.col("id").alias("name")), "level0")
 
 
 def double(scratch: Scratch, level: DataFrame, step: int, tag: str) -> DataFrame:
-    """Names of ``step`` more lines: pairs (name at i, name at i + step) that occur twice or more, ranked in order."""
+    """Names of ``step`` more lines: pairs (name at i, name at i + step) that occur twice or more, ranked in order.
+
+    One job: ranges of distinct sorted pairs number the same rows alike if a task runs again."""
     ahead = level.select("d", "t", (F.col("i") - step).alias("i"), F.col("name").alias("next"))
-    pairs = scratch.save(level.join(ahead, _AT).select(*_AT, "name", "next"), f"pairs{tag}")
-    twice = scratch.save(pairs.groupBy("name", "next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "next"), f"twice{tag}")
+    pairs = level.join(ahead, _AT).select(*_AT, "name", "next")
+    twice = pairs.groupBy("name", "next").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "next")
     n = shuffle_partitions(scratch.spark)
-    ranks = scratch.save(twice.repartitionByRange(n, "name", "next").sortWithinPartitions("name", "next").withColumn("rank", F.monotonically_increasing_id()), f"ranks{tag}")
-    out = scratch.save(pairs.join(ranks, ["name", "next"]).select(*_AT, F.col("rank").alias("name")), f"level{tag}")
-    scratch.drop(f"pairs{tag}", f"twice{tag}", f"ranks{tag}")
-    return out
+    ranks = twice.repartitionByRange(n, "name", "next").sortWithinPartitions("name", "next").withColumn("rank", F.monotonically_increasing_id())
+    return scratch.save(pairs.join(ranks, ["name", "next"]).select(*_AT, F.col("rank").alias("name")), f"level{tag}")
 
 
-def later(level: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
-    """(d, t, i, fd, ft, fi): suffixes that are not the first of their interval, with that first."""
-    first = scratch.save(level.groupBy("name").agg(F.min(F.struct(*_AT)).alias("f")), f"first{tag}")
-    out = level.join(first, "name").where(F.struct(*_AT) != F.col("f")).select(*_AT, F.col("f.d").alias("fd"), F.col("f.t").alias("ft"), F.col("f.i").alias("fi"))
-    return out
+def later(level: DataFrame, *by: str) -> DataFrame:
+    """(by, d, t, i, fd, ft, fi): suffixes that are not the first of their interval, with that first."""
+    first = level.groupBy(*by, "name").agg(F.min(F.struct(*_AT)).alias("f"))
+    return level.join(first, [*by, "name"]).where(F.struct(*_AT) != F.col("f")).select(*by, *_AT, F.col("f.d").alias("fd"), F.col("f.t").alias("ft"), F.col("f.i").alias("fi"))
 
 
 class Suffixes:
@@ -80,40 +83,47 @@ class Suffixes:
             k = len(self.levels)
             self.levels.append(double(self.scratch, self.levels[-1], 1 << (k - 1), str(k)))
         self.levels.pop()
+        self.tops: dict[int, DataFrame] = {}
+
+    def longest(self, low: int) -> DataFrame:
+        """(d, t, i, k, fd, ft, fi): the longest interval (2**k lines, k >= low) of each suffix that is not its first.
+
+        A suffix that follows another in one interval does so in all shorter ones, so the largest k is taken."""
+        if low not in self.tops:
+            every = reduce(DataFrame.unionAll, [x.withColumn("k", F.lit(k)) for k, x in enumerate(self.levels) if k >= low])
+            best = later(every, "k").groupBy(*_AT).agg(F.max(F.struct("k", "fd", "ft", "fi")).alias("m"))
+            self.tops[low] = self.scratch.save(best.select(*_AT, "m.*"), f"longest{low}")
+        return self.tops[low]
 
     def deleted(self, min_lines: int = MIN_LINES) -> DataFrame:
-        """(d, t, i) of the lines that go: all lines of later copies of a run of ``min_lines``."""
+        """(d, t, i) of the lines that go: all lines of later copies of a run of ``min_lines``; a line may come more than once."""
         k = min_lines.bit_length() - 1
         if k >= len(self.levels):
             return self.scratch.spark.createDataFrame([], "d long, t long, i int")
-        level = self.levels[k]
         if min_lines > 1 << k:  # the first 2**k and the last 2**k lines, which overlap, name the run
-            level = double(self.scratch, level, min_lines - (1 << k), f"run{min_lines}")
-        rest = later(level, self.scratch, f"run{min_lines}-")
-        return self.scratch.save(rest.select("d", "t", F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i")).distinct(), f"deleted{min_lines}")
+            rest = later(double(self.scratch, self.levels[k], min_lines - (1 << k), f"run{min_lines}"))
+        else:
+            rest = self.longest(k)
+        return rest.select("d", "t", F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i"))
 
     def runs(self, min_lines: int = MIN_LINES) -> DataFrame:
         """(d, t, i, fd, ft, fi, n): maximal repeated runs of n >= min_lines lines, each with its source."""
         low = min_lines.bit_length() - 1
         if low >= len(self.levels):
             return self.scratch.spark.createDataFrame([], "d long, t long, i int, fd long, ft long, fi int, n int")
-        found, cols = None, [*_AT, "fd", "ft", "fi"]
-        higher = None
-        for k in range(len(self.levels) - 1, low - 1, -1):  # the longest interval of each suffix counts
-            rest = later(self.levels[k], self.scratch, f"top{k}-")
-            if higher is not None:
-                rest = rest.join(higher.select(*_AT), _AT, "left_anti")
-            rest = self.scratch.save(rest.withColumn("k", F.lit(k)), f"top{k}")
-            higher = rest if higher is None else higher.unionAll(rest)
-        inside = higher.select("d", "t", (F.col("i") + 1).alias("i"), "fd", "ft", (F.col("fi") + 1).alias("fi"))
-        found = self.scratch.save(higher.join(inside, cols, "left_anti").withColumn("n", F.expr("shiftleft(1, k)")), "starts")
+        cols = [*_AT, "fd", "ft", "fi"]
+        top = self.longest(low)
+        inside = top.select("d", "t", (F.col("i") + 1).alias("i"), "fd", "ft", (F.col("fi") + 1).alias("fi"))
+        found = top.join(inside, cols, "left_anti").withColumn("n", F.expr("shiftleft(1, k)"))
         for j in range(len(self.levels) - 2, -1, -1):  # names of 2**j more lines on both sides
             mine = self.levels[j].select("d", "t", F.col("i").alias("p"), F.col("name").alias("mine"))
             theirs = self.levels[j].select(F.col("d").alias("fd"), F.col("t").alias("ft"), F.col("i").alias("fp"), F.col("name").alias("theirs"))
             step = found.withColumn("p", F.col("i") + F.col("n")).withColumn("fp", F.col("fi") + F.col("n"))
             step = step.join(mine, ["d", "t", "p"], "left").join(theirs, ["fd", "ft", "fp"], "left")
             grown = (F.col("k") > j) & (F.col("mine") == F.col("theirs"))
-            found = self.scratch.save(step.select(*cols, "k", (F.col("n") + F.when(grown, 1 << j).otherwise(0)).alias("n")), f"grown{j}")
+            found = step.select(*cols, "k", (F.col("n") + F.when(grown, 1 << j).otherwise(0)).alias("n"))
+            if j % ROUNDS_STORED == 0:
+                found = self.scratch.save(found, f"grown{j}")
         return found.where(F.col("n") >= min_lines).drop("k")
 
 
