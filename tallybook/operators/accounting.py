@@ -231,7 +231,7 @@ def dim_sellers(plan_changes: DataFrame, sellers: DataFrame, plans: DataFrame) -
                        F.col("status").alias("seller_status"),
                        F.col("created_at").alias("seller_created_at"),
                        F.col("churned_at").alias("seller_churned_at"))
-    return (versions.join(s, "seller_id").join(F.broadcast(p), "plan_id")
+    return (versions.join(s, "seller_id").join(p, "plan_id")
             .select("seller_id", "seller_name", "seller_country", "seller_status",
                     "seller_created_at", "seller_churned_at", "plan_id", "plan_name", "fee_bps",
                     "valid_from", "valid_to",

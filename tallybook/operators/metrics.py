@@ -61,7 +61,7 @@ def order_economics(orders: DataFrame, rates: DataFrame, ledger: DataFrame,
     j = (o.join(r, (o["currency"] == r["_rc"]) & (o["order_date"] == r["_rd"]), "left")
          .join(led, "order_id", "left")
          .join(s, "seller_id", "left")
-         .join(F.broadcast(p), (o["plan_id"] == p["_pid"]) & (o["currency"] == p["_pc"]), "left"))
+         .join(p, (o["plan_id"] == p["_pid"]) & (o["currency"] == p["_pc"]), "left"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     return j.select(
         "order_id", "seller_id", "product_id", "buyer_country", "processor", "currency",

@@ -65,8 +65,7 @@ def stg_plans(raw_plans: DataFrame, raw_fees: DataFrame) -> DataFrame:
                              F.col("fee_bps").cast("bigint").alias("fee_bps"))
     fees = raw_fees.select("currency", F.col("plan_id").cast("bigint").alias("plan_id"),
                            F.col("fixed_fee_minor").cast("bigint").alias("fixed_fee_minor"))
-    # Both sides are plan catalogues (plans x currencies): broadcast is bounded.
-    return plans.join(F.broadcast(fees), "plan_id", "inner") \
+    return plans.join(fees, "plan_id", "inner") \
         .select("plan_id", "plan_name", "fee_bps", "currency", "fixed_fee_minor")
 
 

@@ -55,6 +55,7 @@ class Models:
         self.policy = policy
         self.tables = tables
         self.raw = feeds or DriverFeeds(spark, sf_dir, land=tables)
+        self.source = getattr(self.raw, "cache_key", sf_dir)   # the state of the feeds these models are of
 
     def build(self, threads: int = 4) -> dict[str, float]:
         """Materialise every feed and table, wave by wave; returns seconds per wave."""
@@ -85,8 +86,7 @@ class Models:
         cut, executor-loss safe), then every reader scans the Parquet copy."""
         if not self.tables or name not in TABLE_MODELS:
             return build()
-        source = getattr(self.raw, "cache_key", self.sf_dir)
-        key = (self.spark.sparkContext.applicationId, source, self.policy, name)
+        key = (self.spark.sparkContext.applicationId, self.source, self.policy, name)
         with landing_lock(key):
             path = _TABLES.get(key)
             if path is None:

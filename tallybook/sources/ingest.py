@@ -448,7 +448,12 @@ class WarehouseFeeds:
     def __init__(self, warehouse: Warehouse):
         self.wh = warehouse
         self.spark = warehouse.spark
-        self.cache_key = f"warehouse:{warehouse.root}"   # stored model tables are per warehouse
+
+    @property
+    def cache_key(self) -> str:
+        """Stored model tables are per warehouse and newest load: a later load makes new ones."""
+        newest = self.wh.manifest().agg(F.max(F.struct("loaded_at", "load_id")).alias("m")).first().m
+        return f"warehouse:{self.wh.root}:{newest.loaded_at}:{newest.load_id}" if newest else f"warehouse:{self.wh.root}"
 
     def _t(self, table: str) -> DataFrame:
         return self.wh.raw_table(table)

@@ -53,7 +53,9 @@ def write_ledger(spark: SparkSession, ledger: DataFrame, path: str,
                     .filter(F.col("posting_month") >= F.lit(cutoff)).select("posting_month").distinct().collect()}
     else:
         existing = set()
-    out = out.repartition("posting_month").sortWithinPartitions("account_code", "source_system")
+    # Ranges split a month that holds most lines over many tasks; a small month stays in one or two files.
+    out = (out.repartitionByRange("posting_month", "account_code", "source_system", "ledger_line_id")
+           .sortWithinPartitions("posting_month", "account_code", "source_system"))
     (out.write.mode("overwrite").partitionBy("posting_month")
      .option("partitionOverwriteMode", "dynamic" if cutoff is not None else "static").parquet(path))
     rebuilt = set()

@@ -11,6 +11,9 @@ processing-time trigger to run continuously.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -20,13 +23,16 @@ from ..sources.ingest import BINARY_FILE_SCHEMA, Warehouse, ingest
 def incremental_file_ingest(spark: SparkSession, raw_root: str, warehouse: Warehouse,
                             checkpoint: str | None = None, available_now: bool = True,
                             processing_time: str = "1 minute"):
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/stream-ingest"
+    if checkpoint is None:   # one folder per stream
+        pair = hashlib.sha256(f"{raw_root}\n{warehouse.root}".encode()).hexdigest()[:16]
+        checkpoint = f"{ensure_checkpoint_dir(spark)}/stream-ingest-{pair}"
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
               .load(raw_root))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        ingest(spark, raw_root, warehouse, load_id=f"stream-{batch_id:08d}", binary=batch)
+        # One id per attempt: rows of an attempt that died before its manifest stay invisible.
+        ingest(spark, raw_root, warehouse, load_id=f"stream-{batch_id:08d}-{uuid.uuid4().hex}", binary=batch)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tallybook.sources.ingest import Warehouse, ingest
+from tallybook.sources.ingest import Warehouse, WarehouseFeeds, ingest
 from tallybook.sources.sinks import write_ledger
 from tallybook.streaming.file_stream import incremental_file_ingest
 
@@ -57,6 +57,20 @@ def test_stream_ingest_equals_batch_and_is_incremental(spark):
     assert stream_wh.raw_table(t).count() == 4
 
 
+def test_replaced_file_under_a_fresh_checkpoint_has_no_old_rows(spark):
+    raw = tempfile.mkdtemp(prefix="raw-", dir="/tmp")
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    name, t = "processor_a/balance_transactions_2025-07-12.csv", "processor_a_balance_transactions"
+    row = "txn_{0},2025-07-12 10:00:00,2025-07-14 00:00:00,usd,1.00,0.00,1.00,charge,ch_{0},,1.00,usd,,{0}\n"
+    keys = []
+    for ids in ((1,), (2, 3)):
+        _write(raw, name, A_HEADER + "\n" + "".join(row.format(i) for i in ids))
+        incremental_file_ingest(spark, raw, wh, checkpoint=tempfile.mkdtemp(prefix="ck-", dir="/tmp")).awaitTermination()
+        keys.append(WarehouseFeeds(wh).cache_key)
+        assert sorted(r[0] for r in wh.raw_table(t).select("balance_transaction_id").collect()) == [f"txn_{i}" for i in ids]
+    assert keys[0] != keys[1]   # stored model tables of the first load are not read for the second
+
+
 def test_publish_pipeline_ledger_twice_is_stable(spark, models_small):
     path = tempfile.mkdtemp(prefix="ledger-", dir="/tmp") + "/ledger_table"
     first = models_small.publish_ledger(path)
