@@ -9,10 +9,11 @@ that many lines.  A suffix that shares its name with no other one is left out of
 further rounds; nothing can be repeated behind it.
 
 A run of ``min_lines`` lines or more that also starts earlier (by doc_id, then line)
-is repeated; later copies are deleted.  ``runs`` gives the maximal ones: of each
-suffix's longest interval the first member is its source, matches are extended line
-by line count by binary descent through the names, and a match that begins inside a
-longer one is left out.
+is repeated; later copies are deleted.  ``runs`` gives the maximal ones: a suffix's
+match is the longest one with any earlier suffix.  It starts as the suffix's longest
+interval and grows by binary descent: suffixes with the same first lines are split by
+the name of their next 2**j lines, and all but the first of those that share it go on.
+A match that lies inside the one a line above is left out.
 
 Each pair of names is one row after a partial aggregate, so a line that a third of
 all documents hold is counted in every task before it moves, and joins with the
@@ -35,9 +36,8 @@ from .frames import Scratch, any_rows, let, pick, shuffle_partitions
 
 MIN_LINES = 2
 NAMELESS = -(2**63)
-#: Rounds of extension in one job, before their rows are stored.
-ROUNDS_STORED = 3
 _AT = ["d", "t", "i"]
+_CLASS = ["fd", "ft", "fi", "n"]
 
 
 def line_ids(docs: DataFrame) -> DataFrame:
@@ -111,20 +111,42 @@ class Suffixes:
         low = min_lines.bit_length() - 1
         if low >= len(self.levels):
             return self.scratch.spark.createDataFrame([], "d long, t long, i int, fd long, ft long, fi int, n int")
-        cols = [*_AT, "fd", "ft", "fi"]
-        top = self.longest(low)
-        inside = top.select("d", "t", (F.col("i") + 1).alias("i"), "fd", "ft", (F.col("fi") + 1).alias("fi"))
-        found = top.join(inside, cols, "left_anti").withColumn("n", F.expr("shiftleft(1, k)"))
-        for j in range(len(self.levels) - 2, -1, -1):  # names of 2**j more lines on both sides
-            mine = self.levels[j].select("d", "t", F.col("i").alias("p"), F.col("name").alias("mine"))
-            theirs = self.levels[j].select(F.col("d").alias("fd"), F.col("t").alias("ft"), F.col("i").alias("fp"), F.col("name").alias("theirs"))
-            step = found.withColumn("p", F.col("i") + F.col("n")).withColumn("fp", F.col("fi") + F.col("n"))
-            step = step.join(mine, ["d", "t", "p"], "left").join(theirs, ["fd", "ft", "fp"], "left")
-            grown = (F.col("k") > j) & (F.col("mine") == F.col("theirs"))
-            found = step.select(*cols, "k", (F.col("n") + F.when(grown, 1 << j).otherwise(0)).alias("n"))
-            if j % ROUNDS_STORED == 0:
-                found = self.scratch.save(found, f"grown{j}")
-        return found.where(F.col("n") >= min_lines).drop("k")
+        whole, found = self.ends(self.longest(low)), None
+        for j in range(len(self.levels) - 2, -1, -1):
+            started = whole.where(F.col("k") == j + 1).drop("k").withColumn("n", F.lit(2 << j))
+            found = self.grow(started if found is None else found.unionAll(started), j)
+        shortest = whole.where("k = 0").drop("k").withColumn("n", F.lit(1))
+        found = shortest if found is None else found.unionAll(shortest)
+        # No match ends before that of the line above it, so of one end the first is the longest.
+        first = found.where(F.col("n") >= min_lines).groupBy("d", "t", (F.col("i") + F.col("n")).alias("end")).agg(F.min(F.struct("i", *_CLASS)).alias("m"))
+        return first.select("d", "t", "m.*")
+
+    def ends(self, top: DataFrame) -> DataFrame:
+        """``top`` without the intervals whose members all follow one and the same line: whatever
+        their suffixes match, the suffixes one line above match too."""
+        source = ["k", "fd", "ft", "fi"]
+        firsts = top.select(*source).distinct().select(F.col("fd").alias("d"), F.col("ft").alias("t"), F.col("fi").alias("i"), *source)
+        above = self.levels[0].select("d", "t", (F.col("i") + 1).alias("i"), F.col("name").alias("above"))
+        by = top.select(*_AT, *source).unionAll(firsts).join(above, _AT, "left").groupBy(*source)
+        by = by.agg(F.min("above").alias("lo"), F.max("above").alias("hi"), F.count("above").alias("known"), F.count(F.lit(1)).alias("members"))
+        return self.scratch.save(top.join(by.where("known < members OR lo < hi").select(*source), source, "left_semi").select(*_AT, *source), "ends")
+
+    def grow(self, found: DataFrame, j: int) -> DataFrame:
+        """(d, t, i, fd, ft, fi, n): 2**j lines more for suffixes of which an earlier one has them as well.
+
+        A class is all suffixes of ``found`` with one (fd, ft, fi, n), and that source, the first place of
+        their n lines.  Of members that go on alike the first stays and is the source of the others'
+        class, so each class holds an earlier suffix for any longer match of its members."""
+        sources = found.select(*_CLASS).distinct().select(F.col("fd").alias("d"), F.col("ft").alias("t"), F.col("fi").alias("i"), *_CLASS, F.lit(False).alias("asks"))
+        members = found.select(*_AT, *_CLASS, F.lit(True).alias("asks")).unionAll(sources).withColumn("p", F.col("i") + F.col("n"))
+        names = self.levels[j].select("d", "t", F.col("i").alias("p"), "name")
+        members = self.scratch.save(members.join(names, ["d", "t", "p"], "left").drop("p"), f"members{j}")
+        firsts = members.where("name IS NOT NULL").groupBy(*_CLASS, "name").agg(F.min(F.struct(*_AT)).alias("f"))
+        named = members.where("asks AND name IS NOT NULL").join(firsts, [*_CLASS, "name"])
+        goes = F.struct(*_AT) != F.col("f")
+        place = [F.when(goes, F.col(f"f.{x}")).otherwise(F.col(f"f{x}")).alias(f"f{x}") for x in _AT]
+        grown = named.select(*_AT, *place, (F.col("n") + F.when(goes, 1 << j).otherwise(0)).alias("n"))
+        return members.where("asks AND name IS NULL").select(*_AT, *_CLASS).unionAll(grown)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -159,6 +159,31 @@ def test_line_runs(few, docs, rows, none, least):
         assert line_suffix.dedup_lines(few, none).count() == 0
 
 
+def brute_runs(texts, least):
+    """Per text (runs, longest run): each suffix against all earlier ones, matches inside longer ones left out."""
+    earlier, out = [], []
+    for text in texts:
+        s, start = [x for x in text.split("\n") if words(x)], {}
+        for i in range(len(s)):
+            n = max((next((m for m, (x, y) in enumerate(zip(e, s[i:])) if x != y), min(len(e), len(s) - i)) for e in earlier), default=0)
+            if n >= least:
+                start.setdefault(i + n, i)
+            earlier.append(s[i:])
+        out.append((len(start), max((e - i for e, i in start.items()), default=0)))
+    return out
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_line_runs_are_those_of_the_best_earlier_match(few, least):
+    r = random.Random(11)
+    texts = ["A\nB\nX", "A\nB\nC", "A\nB\nC"] + ["\n".join(r.choice("ABCD") for _ in range(r.randrange(1, 14))) for _ in range(25)]
+    texts += ["Z\n" + texts[9], "\n".join(texts[5:12]), "\n".join(texts[7:16]), texts[20]]
+    got = line_suffix.dedup_lines(few, few.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), least).collect()
+    assert [(g.n_runs, g.longest_run) for g in sorted(got, key=lambda g: g.doc_id)] == brute_runs(texts, least)
+    if least == 2:
+        assert brute_runs(texts, least)[2] == (1, 3)
+
+
 # ------------------------------------------------------------- 5: winnowing
 def item_words(text):
     return [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)})) if x]
