@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .frames import Scratch, let, pick
 
 #: Candidate form, key words and marks of sample material.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]{0,64}+[0-9])[A-Za-z0-9+/_-]{16,}+|[A-Z0-9]{16,}+(?![A-Za-z0-9+/_-]))={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+|[A-Z0-9]{16,}+(?![A-Za-z0-9+/_-]))={0,2}"
 KEY_WORDS = r"(?i)(api|key|token|secret|passw|pwd|auth|credential|private|bearer|login)"
 SAMPLE_PATH = r"(?i)(test|example|sample|fixture|mock|demo|docs?/)"
 FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hexes", "changes", "transitions", "coverage", "sample_path", "key_before", "key_near", "assigned", "quoted"]

@@ -230,6 +230,13 @@ def test_secret_forest(few, none):
     assert secret_forest.scan(few, none).count() == 0
 
 
+@pytest.mark.parametrize("letters", [64, 65, 1000, 100_000])
+def test_candidates_with_a_late_digit(few, letters):
+    data = [(1, "token=" + "lib/" * (letters // 4) + "x" * (letters % 4) + "9f8a7b6c", None), (2, "a" * letters, None)]
+    got = secret_forest.candidates(few.createDataFrame(data, "doc_id long, text string, path string")).collect()
+    assert [(g.doc_id, len(g.found)) for g in got] == [(1, letters + 8)]
+
+
 # --------------------------------------------------------- 7: recompression
 def test_recompression(few, docs, rows, none):
     first, want = {}, {}
