@@ -13,8 +13,8 @@ throughout, with the words around them.  ``features`` adds
 * path: marks of test or sample material in the document's path or source;
 * neighbouring words: key words before it, an assignment sign, quotes.
 
-``fit`` trains on labelled findings (at most ``max_train`` of them, drawn by hash: a
-parameter), ``scan`` scores all candidates.  The dictionary and the pair counts are
+``fit`` trains on labelled findings (at most ``max_train`` of them, of both classes, drawn
+by hash: a parameter), ``scan`` scores all candidates.  The dictionary and the pair counts are
 taken over all words of all documents and stay DataFrames.
 
 Defined cases: null and empty texts have no candidates; a null path has no marks;
@@ -25,6 +25,8 @@ raises ``ValueError``; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -89,15 +91,39 @@ def features(found: DataFrame, vocab: DataFrame, pairs: DataFrame, scratch: Scra
     return rows.join(table, "found")
 
 
-def fit(labelled: DataFrame, max_train: int = 10_000, trees: int = 20, depth: int = 6, seed: int = 7) -> Model:
-    """A forest from labelled findings (``FEATURES`` and ``label`` 0/1).  At most about ``max_train``
-    of them are used, drawn by a hash of the finding, in a fixed order so that reruns agree."""
-    total, kinds = labelled.agg(F.count(F.lit(1)), F.countDistinct("label")).first()
-    if kinds < 2:
+def draw(labelled: DataFrame, max_train: int = 10_000) -> DataFrame:
+    """Training rows (``FEATURES``, ``label``, ``weight``): all, or ``max_train`` at most, shared out by
+    class so that the smaller class is kept whole up to its half.
+
+    Equal rows are counted first and drawn by their number, so a finding that is copied often comes in
+    with its share of the class.  The weights give each class its share of all findings back."""
+    rows = labelled.select(*FEATURES, F.col("label").cast("double").alias("label")).where("label IS NOT NULL")
+    sizes = sorted((r.n, r.label) for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect())  # one row per class
+    if len(sizes) < 2:
         raise ValueError("labelled findings of both classes are needed")
-    part = F.pmod(F.xxhash64(*FEATURES, "label"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, max_train / total))
-    sample = labelled.where(part).select(*FEATURES, F.col("label").cast("double").alias("label")).repartition(1).sortWithinPartitions("label", *FEATURES)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(_vector(sample))
+    kinds, parts, left = rows.groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).alias("same")), [], max_train
+    chance = F.shiftrightunsigned(F.xxhash64(*FEATURES, "label"), 11) / float(1 << 53)
+    for i, (n, label) in enumerate(sizes):
+        limit = max(1, min(n, left // (len(sizes) - i)))
+        left -= limit
+        share = (limit + 5 * limit**0.5 + 10) / n  # somewhat more than is wanted, cut to the limit below
+        copies = F.col("same") if share >= 1 else F.floor(F.col("same") * share + chance)
+        each = kinds.where(F.col("label") == label).withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        if limit < n:
+            each = each.orderBy(F.xxhash64(*FEATURES, "copy"), *FEATURES, "copy").limit(limit)
+        parts.append(each.select(*FEATURES, "label", F.lit(n / limit).alias("weight")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def fit(labelled: DataFrame, max_train: int = 10_000, trees: int = 20, depth: int = 6, seed: int = 7, scratch: Scratch | None = None) -> Model:
+    """A forest from labelled findings (``FEATURES`` and ``label`` 0/1).  At most ``max_train`` of them
+    are used (``draw``), in a fixed order so that reruns agree."""
+    scratch = scratch or Scratch(labelled.sparkSession, "forest")
+    sample = scratch.save(draw(labelled, max_train), "sample")
+    if sample.select("label").distinct().count() < 2:
+        raise ValueError("the training sample holds one class only")
+    sample = sample.repartition(1).sortWithinPartitions("label", *FEATURES)
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight").fit(_vector(sample))
 
 
 def _vector(df: DataFrame) -> DataFrame:
@@ -132,7 +158,7 @@ def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None
     known = weak_labels(rows) if labelled is None else rows.join(labelled.select("found", "label").distinct(), "found")
     kinds = {r[0] for r in known.select("label").distinct().collect()}  # at most 0 and 1
     if kinds == {0, 1}:
-        scored = score(fit(known, max_train), rows)
+        scored = score(fit(known, max_train, scratch=scratch), rows)
     else:  # nothing to learn from: every candidate stays, scored by what is known
         scored = rows.withColumn("probability", F.lit(0.0 if kinds == {0} else 1.0))
     return scored.select("doc_id", "nth", F.length("found").cast("long").alias("length"), F.sha2("found", 256).alias("secret_sha256"), F.round("probability", 6).alias("probability"), (F.col("probability") >= threshold).alias("secret"))

@@ -237,6 +237,19 @@ def test_candidates_with_a_late_digit(few, letters):
     assert [(g.doc_id, len(g.found)) for g in got] == [(1, letters + 8)]
 
 
+def test_training_sample_is_bounded_and_of_both_classes(few):
+    zero = [F.lit(0.0).alias(f) for f in secret_forest.FEATURES[2:]]
+    even = few.range(6000).select(F.col("id").cast("double").alias("length"), F.lit(0.1).alias("digits"), *zero, F.lit(0).alias("label"))
+    copies = few.range(3000).select(F.lit(-1.0).alias("length"), F.lit(0.9).alias("digits"), *zero, F.lit(0).alias("label"))
+    rare = few.range(3).select(F.lit(-2.0).alias("length"), F.lit(0.5).alias("digits"), *zero, F.lit(1).alias("label"))
+    known = even.unionAll(copies).unionAll(rare)
+    got = secret_forest.draw(known, 300).collect()
+    assert len(got) == 300 and sum(g.label for g in got) == 3 and round(sum(g.weight for g in got)) == 9003
+    assert 80 <= sum(g.length == -1 for g in got) <= 118  # a third of the rows
+    assert secret_forest.fit(known, 300).numClasses == 2
+    assert sorted(secret_forest.draw(known).groupBy("label", "weight").count().collect()) == [(0.0, 1.0, 9000), (1.0, 1.0, 3)]
+
+
 # --------------------------------------------------------- 7: recompression
 def test_recompression(few, docs, rows, none):
     first, want = {}, {}
