@@ -8,12 +8,14 @@ closed by the element that carries them), and the visible rest is rendered:
 * paragraphs, headings, lists, tables, quotes and rules have a blank line around
   them, other blocks start on a new line, ``br`` breaks the line;
 * list items get ``- `` or their number, nested lists and quotes are indented;
-* the cells of a table are padded to the width of their column and joined by ``  ``;
+* the cells of a table are padded to the width of their columns and joined by ``  ``;
+  a cell keeps its blocks, lists and pre as lines of its own, ``colspan`` counts;
 * white space runs are one blank, but inside ``pre`` and ``textarea`` they stay.
 
 Defined cases: a null page gives a null text, an empty one an empty text; unclosed
-and stray tags never fail; nesting deeper than ``DEEPEST`` is flattened; repeated
-rows are rendered again; no rows give no rows; other columns are ignored.
+and stray tags never fail; elements nest to any depth (both passes keep their own
+stack), only the blanks before a line end at ``INDENT`` columns; repeated rows are
+rendered again; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,14 +23,17 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .frames import pick
 
-DEEPEST = 200
+#: Columns of indentation after which lists and quotes move no further to the right.
+INDENT = 2000
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -59,10 +64,10 @@ _WS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "seen", "start")
+    __slots__ = ("tag", "kids", "seen", "start", "span")
 
-    def __init__(self, tag: str, seen: bool = True, start: int = 1):
-        self.tag, self.kids, self.seen, self.start = tag, [], seen, start
+    def __init__(self, tag: str, seen: bool = True, start: int = 1, span: int = 1):
+        self.tag, self.kids, self.seen, self.start, self.span = tag, [], seen, start, span
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -82,23 +87,31 @@ def build(page: str) -> Node:
     """The element tree; text nodes are strings with entities resolved."""
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # tag -> its places in the stack
     at, n = 0, len(page)
 
     def add_text(s: str) -> None:
         if s:
             stack[-1].kids.append(entities.unescape(s) if "&" in s else s)
 
+    def push(node: Node) -> None:
+        places[node.tag].append(len(stack))
+        stack.append(node)
+
+    def cut(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop().tag].pop()
+
+    def last(tags: frozenset) -> int:
+        """The place of the innermost open element of these, 0 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def close(tags: frozenset, stop: frozenset) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                # the outermost of these below the stop
-                while i > 1 and stack[i - 1].tag in tags and stack[i - 1].tag not in stop:
-                    i -= 1
-                del stack[i:]
-                return close(tags, stop)
-            if stack[i].tag in stop:
-                return None
-        return None
+        while (i := last(tags)) and i >= last(stop):
+            # the outermost of these below the stop
+            while i > 1 and stack[i - 1].tag in tags and stack[i - 1].tag not in stop:
+                i -= 1
+            cut(i)
 
     while at < n:
         lt = page.find("<", at)
@@ -117,15 +130,13 @@ def build(page: str) -> Node:
             if tag == "br":
                 stack[-1].kids.append(Node("br"))
                 continue
-            if tag == "p" and not any(x.tag == "p" for x in stack):
+            if tag == "p" and not places["p"]:
                 stack[-1].kids.append(Node("p"))
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE and tag not in SCOPE and tag not in ("body", "tr", "tbody", "thead", "tfoot"):
-                    break
+            i = last(frozenset([tag]))
+            bounded = tag not in SCOPE and tag not in ("body", "tr", "tbody", "thead", "tfoot")
+            if i and not (bounded and last(SCOPE) > i):
+                cut(i)
         elif m[2]:
             tag = m[2].lower()
             attrs = _attributes(m[3]) if m[3] and m[3] != "/" else {}
@@ -136,9 +147,11 @@ def build(page: str) -> Node:
             elif tag not in UNSEEN and any(x.tag == "head" for x in stack[1:3]) and tag not in ("meta", "link", "base", "title"):
                 close(frozenset(["head"]), frozenset())
             if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag):
-                stack.pop()
+                cut(len(stack) - 1)
             start = attrs.get("start", "")
-            node = Node(tag, _visible(tag, attrs), int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1)
+            span = attrs.get("colspan", "").strip()
+            span = min(max(int(span), 1), 1000) if re.fullmatch(r"[0-9]{1,9}", span) else 1
+            node = Node(tag, _visible(tag, attrs), int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1, span)
             stack[-1].kids.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
@@ -150,8 +163,8 @@ def build(page: str) -> Node:
                     at = n if gt < 0 else gt + 1
                 else:
                     at = n
-            elif tag not in VOID and len(stack) < DEEPEST:
-                stack.append(node)
+            elif tag not in VOID:
+                push(node)
     return root
 
 
@@ -207,7 +220,22 @@ class Layout:
         return "\n".join(self.lines)
 
 
-def render(node: Node, out: Layout, in_list: bool = False) -> None:
+def run(step: Generator) -> object:
+    """Carries out a step; the steps it yields are done first, on a stack of their own, and give it their results."""
+    todo, value = [step], None
+    while todo:
+        try:
+            step = todo[-1].send(value)
+        except StopIteration as end:
+            todo.pop()
+            value = end.value
+        else:
+            todo.append(step)
+            value = None
+    return value
+
+
+def render(node: Node, out: Layout, in_list: bool = False) -> Generator:
     for kid in node.kids:
         if isinstance(kid, str):
             out.text(kid)
@@ -232,38 +260,38 @@ def render(node: Node, out: Layout, in_list: bool = False) -> None:
             out.gap = True
         elif tag == "table":
             out.space()
-            table(kid, out)
+            yield table(kid, out)
             out.gap = True
         elif tag in ("ul", "ol", "menu"):
             out.line_end() if in_list else out.space()
-            lists(kid, out)
+            yield lists(kid, out)
             out.line_end()
             out.gap = out.gap or not in_list
         elif tag == "blockquote":
             out.space()
-            indent, out.indent = out.indent, out.indent + "  "
-            render(kid, out)
+            indent, out.indent = out.indent, (out.indent + "  ")[:INDENT]
+            yield render(kid, out)
             out.space()
             out.indent = indent
         elif tag == "dd":
             out.line_end()
-            indent, out.indent = out.indent, out.indent + "  "
-            render(kid, out)
+            indent, out.indent = out.indent, (out.indent + "  ")[:INDENT]
+            yield render(kid, out)
             out.line_end()
             out.indent = indent
         elif tag in SPACED:
             out.space()
-            render(kid, out)
+            yield render(kid, out)
             out.space()
         elif tag in BLOCK:
             out.line_end()
-            render(kid, out, in_list)
+            yield render(kid, out, in_list)
             out.line_end()
         else:
-            render(kid, out, in_list)
+            yield render(kid, out, in_list)
 
 
-def lists(node: Node, out: Layout) -> None:
+def lists(node: Node, out: Layout) -> Generator:
     number = node.start
     indent = out.indent
     for kid in node.kids:
@@ -273,68 +301,88 @@ def lists(node: Node, out: Layout) -> None:
             out.line_end()
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            out.lead, out.indent = indent + mark, indent + " " * len(mark)
-            render(kid, out, True)
+            out.lead, out.indent = indent + mark, (indent + " " * len(mark))[:INDENT]
+            yield render(kid, out, True)
             out.line_end()
             out.lead, out.indent = "", indent
             out.gap = False
         elif kid.seen:
             group = Node("#group")
             group.kids = [kid]
-            render(group, out, True)
+            yield render(group, out, True)
             out.line_end()
 
 
 def plain(node: Node) -> str:
-    return "".join(k if isinstance(k, str) else "\n" if k.tag == "br" else plain(k) if k.seen else "" for k in node.kids)
+    out, todo = [], node.kids[::-1]
+    while todo:
+        kid = todo.pop()
+        if isinstance(kid, str):
+            out.append(kid)
+        elif kid.tag == "br":
+            out.append("\n")
+        elif kid.seen:
+            todo.extend(reversed(kid.kids))
+    return "".join(out)
 
 
-def table(node: Node, out: Layout) -> None:
-    rows: list[list[str]] = []
+def table(node: Node, out: Layout) -> Generator:
+    rows: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines
 
-    def walk(part: Node) -> None:
+    def walk(part: Node) -> Generator:
         for kid in part.kids:
             if isinstance(kid, str) or not kid.seen:
                 if isinstance(kid, str) and kid.strip():
                     out.write(_WS.sub(" ", kid).strip())  # text outside cells comes before the table
                 continue
             if kid.tag == "tr":
-                rows.append([cell(c) for c in kid.kids if isinstance(c, Node) and c.seen and c.tag in ("td", "th")])
+                yield row([c for c in kid.kids if isinstance(c, Node) and c.seen and c.tag in ("td", "th")])
             elif kid.tag in ("td", "th"):
-                rows.append([cell(kid)])
+                yield row([kid])
             elif kid.tag == "caption":
-                out.write(cell(kid))
+                for line in (yield cell(kid)):
+                    out.write(line)
             elif kid.tag in ("thead", "tbody", "tfoot"):
-                walk(kid)
+                yield walk(kid)
             else:
                 inner = Node("#group")
                 inner.kids = [kid]
-                render(inner, out)
+                yield render(inner, out)
                 out.line_end()
 
-    def cell(c: Node) -> str:
+    def row(cells: list[Node]) -> Generator:
+        at, got = 0, []
+        for c in cells:
+            got.append((at, c.span, (yield cell(c))))
+            at += c.span
+        rows.append(got)
+
+    def cell(c: Node) -> Generator:
         inner = Layout()
-        render(c, inner)
-        return " ".join(x.strip() for x in inner.result().split("\n") if x.strip())
-
-    walk(node)
-    widths: list[int] = []
-    for row in rows:
-        for i, text in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], width(text))
-    for row in rows:
-        line = "  ".join(text + " " * (widths[i] - width(text)) for i, text in enumerate(row))
-        if line.strip():
-            out.write(line)
+        yield render(c, inner)
+        text = inner.result()
+        return text.split("\n") if text.strip() else []
+
+    yield walk(node)
+    starts = sorted({at for got in rows for at, _, _ in got})  # columns in which no cell starts have no width
+    place = {at: i for i, at in enumerate(starts)}
+    widths = [0] * len(starts)
+    spans = [[(place[at], bisect_left(starts, at + n), lines) for at, n, lines in got] for got in rows]
+    room = lambda lo, hi: sum(widths[lo:hi]) + 2 * (hi - lo - 1)
+    for lo, hi, lines in sorted((x for got in spans for x in got), key=lambda x: x[1] - x[0]):
+        widths[hi - 1] += max(0, max(map(width, lines), default=0) - room(lo, hi))
+    for got in spans:
+        rooms = [room(lo, hi) for lo, hi, _ in got]
+        for i in range(max((len(lines) for _, _, lines in got), default=0)):
+            texts = [lines[i] if i < len(lines) else "" for _, _, lines in got]
+            out.write("  ".join(t + " " * (r - width(t)) for t, r in zip(texts, rooms)))
 
 
 def to_text(page: str | None) -> str | None:
     if page is None:
         return None
     out = Layout()
-    render(build(page), out)
+    run(render(build(page), out))
     return out.result()
 
 

@@ -125,6 +125,20 @@ def test_layout(page, text):
     assert html_layout.to_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<b>" * 300 + "<div hidden>no</div><svg>no</svg><p style='display:none'>no</p>yes", "yes"),
+    ("<b>" * 300 + "<table><tr><td>a<td>bb<tr><td>ccc<td>d</table><ul><li>x<li>y</ul><pre>1\n 2</pre>", "a    bb\nccc  d\n\n- x\n- y\n\n1\n 2"),
+    ("<div hidden>" + "<i>" * 300 + "<div>no</div>no</div>yes", "yes"),
+    ("<span>" * 50_000 + "<p>a<p>b" + "</span>" * 50_000, "a\n\nb"), ("<b>" * 50_000 + "</i><div>x</div>" * 20_000, "\n".join("x" * 20_000)),
+    ("<blockquote>" * 400 + "q", " " * 800 + "q"), ("<ul><li>" * 300 + "z", "  " * 299 + "- z"), ("<table><tr><td>" * 3000 + "in", "in"),
+    ("<table><tr><td><p>a<p>b<ul><li>c<li>d</ul><td><pre>x\n  y</pre></table>", "a    x\n       y\nb\n\n- c\n- d"),
+    ("<table><tr><td colspan=2>ab<td>c<tr><td>d<td>e<td>f</table>", "ab    c\nd  e  f"), ("<table><tr><td colspan=2>long head<td>c<tr><td>d<td>e<td>f</table>", "long head  c\nd  e       f"),
+    ("<table><tr><td colspan=1000>a<td>b<tr><td colspan=0>c</table>", "a  b\nc"),
+])
+def test_layout_at_any_depth_and_inside_cells(page, text):
+    assert html_layout.to_text(page) == text
+
+
 def test_layout_frame(few):
     pages = few.createDataFrame([(1, "<p>a", 5), (1, "<p>a", 5), (None, None, 6)], "page_id long, html string, text int")
     assert sorted(map(str, html_layout.extract(few, pages).collect())) == sorted(["Row(page_id=1, text='a')"] * 2 + ["Row(page_id=None, text=None)"])
