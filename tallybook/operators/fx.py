@@ -33,6 +33,6 @@ def fx_rates_daily(published: DataFrame) -> DataFrame:
                    F.first("units_per_usd", ignorenulls=True).over(back)).alias("units_per_usd"),
         F.col("_published").isNotNull().alias("is_published"))
     usd = days.select(F.lit("USD").alias("currency"), "rate_date",
-                      F.lit(1).cast("decimal(18,6)").alias("units_per_usd"),
+                      F.lit(1).cast("decimal(38,9)").alias("units_per_usd"),
                       F.lit(True).alias("is_published"))
     return filled.unionByName(usd)

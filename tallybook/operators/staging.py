@@ -133,7 +133,7 @@ def stg_bank(raw: DataFrame) -> DataFrame:
 def stg_fx(raw: DataFrame) -> DataFrame:
     """USD-based rates only; the latest file wins per (date, currency)."""
     typed = raw.filter(F.upper("base_currency") == "USD").select(
-        F.col("rate").try_cast("decimal(18,6)").alias("units_per_usd"),
+        F.col("rate").try_cast("decimal(38,9)").alias("units_per_usd"),
         F.upper("quote_currency").alias("currency"),
         F.try_to_date("rate_date", "yyyy-MM-dd").alias("rate_date"),
         "_source_file", "_source_line")
@@ -226,7 +226,7 @@ def base_processor_b(raw: DataFrame) -> DataFrame:
         F.upper("gross_currency").alias("gross_currency"),
         (F.coalesce(minor("gross_credit_gc", "gross_currency"), F.lit(0))
          - F.coalesce(minor("gross_debit_gc", "gross_currency"), F.lit(0))).alias("gross_minor"),
-        _nullif_empty("exchange_rate").try_cast("decimal(18,6)").alias("exchange_rate"),
+        _nullif_empty("exchange_rate").try_cast("decimal(38,9)").alias("exchange_rate"),
         F.upper("net_currency").alias("net_currency"),
         minor("net_credit_nc", "net_currency").alias("net_credit_minor"),
         minor("net_debit_nc", "net_currency").alias("net_debit_minor"),

@@ -7,7 +7,8 @@ from decimal import ROUND_HALF_EVEN, Decimal
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import to_minor_units, to_usd_minor
-from tallybook.operators.staging import keep_first
+from tallybook.operators.fx import fx_rates_daily
+from tallybook.operators.staging import keep_first, stg_fx
 
 
 def test_conversion_beyond_int64_products(spark):
@@ -39,3 +40,12 @@ def test_csv_quoting_as_the_csv_module(spark):
     for x, r in zip(lines, rows):
         want = next(csv.reader(io.StringIO(x)))if len(x) < 100_000 else ["q" * 1_000_000, "end"]
         assert r.n == 2 and [r.r.a or "", r.r.b or ""] == want
+
+
+def test_rates_of_nine_decimals_reach_the_conversion(spark):
+    raw = spark.createDataFrame([("USD", "EUR", "0.923456789", "2025-03-03", "f", 1), ("USD", "JPY", "149.1234565", "2025-03-03", "f", 2)], "base_currency string, quote_currency string, rate string, rate_date string, _source_file string, _source_line int")
+    rates = fx_rates_daily(stg_fx(raw)).where("rate_date = DATE'2025-03-04'")
+    got = {r.currency: (r.units_per_usd, r.usd) for r in rates.withColumn("usd", to_usd_minor(F.lit(10**13), F.col("currency"), F.col("units_per_usd"))).collect()}
+    for ccy, rate, scale in (("EUR", "0.923456789", 1), ("JPY", "149.1234565", 100)):
+        assert got[ccy] == (Decimal(rate), int((Decimal(10**13) * scale / Decimal(rate)).quantize(Decimal(1), ROUND_HALF_EVEN)))
+    assert got["USD"] == (1, 10**13)
