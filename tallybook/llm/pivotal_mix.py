@@ -13,7 +13,7 @@ each group leaves one open document at most, and the open documents of all group
 go up a reduction tree until a source has a single group.  A hot source is many
 groups; no task holds a source.
 
-All draws are hashes of the seed and the document, so reruns agree.  Defined cases:
+All draws are hashes of the seed, the document and its number among equal rows, so reruns agree.  Defined cases:
 a null text or a text without words has size 0 and is taken 0 times as words; a
 null source is a source of its own, last in order; a null ``doc_id`` and repeated
 rows are documents like any other; sources without words have target 0; no rows
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import Scratch, any_rows, pick, ranked, same
+from .frames import Scratch, any_rows, pick, ranked, same, shuffle_partitions
 
 GROUP = 4096
 WEIGHTS = (5, 2, 1)
@@ -94,6 +94,17 @@ def targets(spark: SparkSession, sized: DataFrame, share: float, scratch: Scratc
     return table.select("source", "source_size", "n_docs", F.least(F.lit(level) * F.col("weight"), 2.0 * F.col("source_size")).alias("target"))
 
 
+def numbered(spark: SparkSession, sized: DataFrame) -> DataFrame:
+    """``sized`` with ``copy``, the number of a row among equal ones from 0.  Equal rows are counted
+    and written out again, many of them as blocks of ``GROUP`` in all tasks."""
+    counted = sized.groupBy("doc_id", "t", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    few = counted.where(F.col("n") <= GROUP).withColumn("first", F.lit(0).cast("long"))
+    many = counted.where(F.col("n") > GROUP).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(GROUP).cast("long"))))
+    blocks = few.unionAll(many.repartition(shuffle_partitions(spark), "doc_id", "t", "first"))
+    last = F.least(F.col("first") + GROUP, F.col("n")) - 1
+    return blocks.withColumn("copy", F.explode(F.sequence(F.col("first"), last))).drop("n", "first")
+
+
 def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, seed: int = 0, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, and t, a hash of text and source."""
     scratch = scratch or Scratch(spark, "mix")
@@ -102,7 +113,8 @@ def mix(spark: SparkSession, docs: DataFrame, share: float = 1.5, seed: int = 0,
     sized = scratch.save(base.select("doc_id", F.xxhash64("text", "source").alias("t"), "source", words.alias("size")), "sized")
     goal = scratch.save(targets(spark, sized, share, scratch), "targets")
     per = goal.select(F.col("source").alias("of"), (F.col("target") / F.greatest("source_size", F.lit(1))).alias("f"), "n_docs")
-    draw = lambda n: F.xxhash64(F.lit(seed), F.lit(n), "doc_id", "t")
+    sized = numbered(spark, sized)
+    draw = lambda n: F.when(F.col("copy") == 0, F.xxhash64(F.lit(seed), F.lit(n), "doc_id", "t")).otherwise(F.xxhash64(F.lit(seed), F.lit(n), "doc_id", "t", "copy"))
     units = sized.join(per, same(sized["source"], per["of"])).select(
         "t", "doc_id", "size", "source", F.ceil(F.col("n_docs") / GROUP).alias("groups"), F.floor("f").alias("whole"), draw(1).alias("u"), draw(2).alias("v"),
         F.when(F.col("size") > 0, F.col("f") - F.floor("f")).otherwise(0.0).alias("p"), F.lit(False).alias("open"))

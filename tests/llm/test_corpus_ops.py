@@ -359,6 +359,17 @@ def test_mix(few, docs, rows, none):
     assert pivotal_mix.mix(few, none).count() == 0 and pivotal_mix.mixed_rows(few, none).count() == 0
 
 
+def test_equal_rows_are_units_of_their_own(few):
+    data = few.range(9000).select(F.when(F.col("id") < 8990, 1).otherwise(F.col("id")).alias("doc_id"), F.lit(5).cast("long").alias("t"), F.lit("s").alias("source"), F.lit(3).cast("long").alias("size"))
+    got = pivotal_mix.numbered(few, data)
+    assert got.drop("copy").exceptAll(data).count() == 0 and got.count() == got.select("doc_id", "copy").distinct().count() == 9000
+    assert got.agg(F.max("copy")).first()[0] == 8989
+    same = data.select("doc_id", F.lit("a b c").alias("text"), "source").unionAll(few.createDataFrame([(7, "x y", "z"), (8, "x", "w")], "doc_id long, text string, source string"))
+    mixed = pivotal_mix.mix(few, same).where("source_size = 27000")
+    total = mixed.agg(F.sum("taken"), F.first("target"), F.count(F.lit(1))).first()
+    assert total[2] == 9000 and abs(total[0] - total[1]) <= 3
+
+
 # ----------------------------------------------------------- 10: quotations
 def test_quotation_links(few):
     data = [
