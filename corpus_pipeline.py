@@ -29,7 +29,11 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, line_quality.judge(spark, docs).where(~F.col("kept")))
+    """The documents that pass, without the common lines that the rules take from them."""
+    scratch = Scratch(spark, "lines")
+    verdict = line_quality.judge(spark, docs, scratch=scratch)
+    lost = spark.read.parquet(f"{scratch.root}/lost_lines")
+    return line_quality.strip_common_lines(_without(docs, verdict.where(~F.col("kept"))), lost)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,11 +113,7 @@ def judge(spark: SparkSession, docs: DataFrame, max_docs: int = 50, min_left: fl
     scratch = scratch or Scratch(spark, "lines")
     texts = pick(docs, doc_id=doc_id, text=text, host=host).withColumn("host", F.when(F.col("host").isNull(), "").otherwise(F.concat(F.lit("="), F.col("host")))).withColumn("t", F.xxhash64("text"))
     facts = scratch.save(texts.mapInArrow(_facts, FACTS), "facts")
-    common = common_lines(spark, facts, max_docs, scratch)
-    each = scratch.spark.read.parquet(f"{scratch.root}/different")
-    each = each.select("host", "t1", "t2", F.col("doc_id").alias("of"), F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-    each = each.select("host", "t1", "t2", "of", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    lost = each.join(common, ["host", "line"]).where(~F.col("of").eqNullSafe(F.col("holder")))
+    lost = lost_lines(spark, facts, max_docs, scratch)
     lost = scratch.save(lost.groupBy("host", "t1", "t2").agg(F.sum("words").alias("n_common_words")), "lost")
     out = facts.drop("lines", "line_words").join(lost, ["host", "t1", "t2"], "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)))
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -125,28 +121,40 @@ def judge(spark: SparkSession, docs: DataFrame, max_docs: int = 50, min_left: fl
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (~base_failed & ~depleted).alias("kept"), "n_common_words", "t")
 
 
+def lost_lines(spark: SparkSession, facts: DataFrame, max_docs: int, scratch: Scratch) -> DataFrame:
+    """(host, t1, t2, t, line, words): the common lines of all texts but their first holder's."""
+    common = common_lines(spark, facts, max_docs, scratch)
+    each = scratch.spark.read.parquet(f"{scratch.root}/different")
+    each = each.select("host", "t1", "t2", "t", F.col("doc_id").alias("of"), F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
+    each = each.select("host", "t1", "t2", "t", "of", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
+    return scratch.save(each.join(common, ["host", "line"]).where(~F.col("of").eqNullSafe(F.col("holder"))).select("host", "t1", "t2", "t", "line", "words"), "lost_lines")
+
+
 def common_lines(spark: SparkSession, facts: DataFrame, max_docs: int, scratch: Scratch) -> DataFrame:
     """(host, line, n_docs, holder) of the lines above the limit; one count per different text."""
-    different = scratch.save(facts.groupBy("host", "t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.first("lines").alias("lines"), F.first("line_words").alias("line_words")).withColumn("doc_id", F.when(~F.col("nameless"), F.col("doc_id"))).drop("nameless"), "different")
+    different = scratch.save(facts.groupBy("host", "t1", "t2").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("nameless"), F.first("t").alias("t"), F.first("lines").alias("lines"), F.first("line_words").alias("line_words")).withColumn("doc_id", F.when(~F.col("nameless"), F.col("doc_id"))).drop("nameless"), "different")
     held = different.select("host", "doc_id", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct(F.col("doc_id").alias("id"))).alias("holder"))
     return scratch.save(held.where(F.col("n_docs") > max_docs).select("host", "line", "n_docs", F.col("holder.id").alias("holder")), "common")
 
 
-def strip_common_lines(docs: DataFrame, common: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The texts without their common lines (the first holder keeps its own): the lines of all
-    documents are joined to the common ones, and only documents that lose a line are put together anew."""
-    # the normal form and hash of a line as in the facts pass, line by line in Arrow batches
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+def strip_common_lines(docs: DataFrame, lost: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``docs`` without the lines that ``judge`` found lost (``lost_lines``), by host and hash of the
+    text; only documents that lose a line are put together anew, other lines stay as they are."""
+    gone = lost.groupBy(F.col("host").alias("_h"), F.col("t").alias("_t")).agg(F.collect_set("line").alias("_gone"))
+    key = F.when(F.col(host).isNull(), "").otherwise(F.concat(F.lit("="), F.col(host)))
+    keyed = docs.withColumn("_host", key).withColumn("_key", F.xxhash64(text))
+    names, at = docs.columns, docs.columns.index(text)
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, ident, key, t in zip(*(b.column(i).to_pylist() for i in range(4))):
-                got = [line_hash(normal_line(x.encode())) if x.split() else None for x in (t or "").split("\n")]
-                yield pa.record_batch({"_row": pa.array([row] * len(got), pa.int64()), "_id": pa.array([ident] * len(got), pa.int64()), "host": pa.array([key] * len(got), pa.string()), "at": pa.array(range(len(got)), pa.int64()), "line": pa.array(got, pa.int64())})
+            columns = list(b.columns)
+            texts, lines = columns[at].cast(pa.binary()).to_pylist(), columns.pop().to_pylist()
+            left = [None if x is None else without(x, set(y)) if y else x for x, y in zip(texts, lines)]
+            columns[at] = pa.array(left, pa.binary()).view(pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    key = F.when(F.col(host).isNull(), "").otherwise(F.concat(F.lit("="), F.col(host)))
-    each = rows.select("_row", doc_id, key.alias("host"), text).mapInArrow(hashes, "_row long, _id long, host string, at long, line long")
-    gone = each.join(common, ["host", "line"]).where(~F.col("_id").eqNullSafe(F.col("holder"))).groupBy("_row").agg(F.collect_set("at").alias("_gone"))
-    parts = F.split(F.col(text), "\n", -1)
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i.cast("long"))), "\n")
-    return rows.join(gone, "_row", "left").withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left)).drop("_row", "_gone")
+    def without(body: bytes, lines: set) -> bytes:
+        return b"\n".join(x for x in body.split(b"\n") if not x.split() or line_hash(normal_line(x)) not in lines)
+
+    on = (keyed["_host"] == gone["_h"]) & (keyed["_key"] == gone["_t"])
+    return keyed.join(gone, on, "left").select(*docs.columns, "_gone").mapInArrow(strip, docs.schema)

@@ -34,3 +34,15 @@ def test_stages(spark, tmp_path, empty):
         elif name == "token_ids":
             assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert len(SCHEMA) > len(TABLE)
+
+
+def test_quality_stage_removes_common_lines(spark, tmp_path):
+    body = ["\n".join([" ".join(f"w{i}_{j}" for j in range(30)), "  ", f"end {i} é"]) for i in range(55)]
+    rows = [(i, ("All  rights\tRESERVED\n" if i % 2 else "") + b + "\nall rights reserved", "en", "s", 7) for i, b in enumerate(body)]
+    rows += [(100, rows[0][1], "en", "s", 7), rows[3], (200, rows[4][1], "en", "other", 7), (None, None, None, None, 0)]
+    spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert got.columns == [x.split()[0] for x in TABLE.split(", ")]
+    # the first holder, its copy and another host keep the line
+    want = [(i, rows[0][1] if i in (0, 100) else rows[4][1] if i == 200 else body[i]) for i in [0, 1, 2, 3, 3, *range(4, 55), 100, 200]]
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == want
