@@ -78,4 +78,26 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY coalesce(reply_
        CAST(coalesce((SELECT sum(lines) FROM linked l WHERE l.conv_id = up.conv_id AND l.turn = up.turn), 0) AS BIGINT) AS n_linked_lines FROM up
 """
 
-ORACLE = {"op2_line_quality": OP2, "op5_winnow": OP5, "op7_recompress": OP7, "op8_superminhash": OP8, "op10_quote_links": OP10}
+_D2 = "CAST(list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+
+
+def _round(i: int) -> str:
+    """Vectors assigned to the centroids c<i>, and the centroids c<i+1> that follow."""
+    return f"""
+a{i} AS (SELECT rid, any_value(vec_id) AS vec_id, any_value(vq) AS q, min((d, k)) AS best FROM (SELECT rid, vec_id, v.q AS vq, {_D2} AS d, c.k FROM v, c{i} c) GROUP BY rid),
+s{i} AS (SELECT k, p, sum(x) AS s, count(*) AS n FROM (SELECT best[2] AS k, unnest(q) AS x, unnest(generate_series(1, 64)) AS p FROM a{i}) GROUP BY k, p),
+m{i} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS q FROM s{i} GROUP BY k),
+c{i + 1} AS (SELECT c.k, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN m{i} m ON m.k = c.k)"""
+
+
+OP12 = f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS q
+           FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY name, q) - 1 AS k, q FROM (SELECT sha256('1:' || vec_id) AS name, q FROM v WHERE vec_id IS NOT NULL ORDER BY name, q LIMIT 16)),
+{",".join(_round(i) for i in range(4))}
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a3 JOIN c3 c ON c.k = best[2]
+"""
+
+ORACLE = {"op12_pca_centroids": OP12, "op2_line_quality": OP2, "op5_winnow": OP5, "op7_recompress": OP7, "op8_superminhash": OP8, "op10_quote_links": OP10}
