@@ -100,4 +100,59 @@ SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance, CAST(su
 FROM a3 JOIN c3 c ON c.k = best[2]
 """
 
-ORACLE = {"op12_pca_centroids": OP12, "op2_line_quality": OP2, "op5_winnow": OP5, "op7_recompress": OP7, "op8_superminhash": OP8, "op10_quote_links": OP10}
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(nm, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+
+
+def _edit(s: str, price: str, letter: str, row: str) -> str:
+    return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {price}, 'a': {s}.a || '{letter}', 'r': {s}.r || {row}}} END"
+
+
+def _nl(text: str) -> str:
+    return f"chr(10) || '{text}'"
+
+
+def _least(*options: str) -> str:
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+_NEXT = "(SELECT dp.cid, f.rn, f.role, f.text, f.fault, s0, s1, s2, s3 FROM dp JOIN flags f ON f.cid = dp.cid AND f.rn = dp.rn + 1)"
+# one insertion after every state of the rows before (two never pay)
+_INSERTED = (f"SELECT * EXCLUDE (s2, s3), {_least('s2', *[_edit(s, '5', 'I', _nl('user:')) for s in ('s0', 's1', 's3')])} AS s2, "
+             f"{_least('s3', _edit('s2', '5', 'I', _nl('assistant:')))} AS s3 FROM {_NEXT}")
+_ROW = "chr(10) || role || ':' || text"
+_KEEP = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+
+
+def _stay(s: str, role: str) -> str:
+    """Keep or rerole of the row after state ``s``."""
+    keep, turn = _edit(s, _KEEP, "K", _ROW), _edit(s, f"1 + {_KEEP}", "R", f"chr(10) || '{role}:' || text")
+    return f"CASE WHEN fault NOT IN ('blank', 'duplicate') THEN (CASE WHEN left(role, 1) = '{role[0]}' THEN {keep} ELSE {turn} END) END"
+
+
+_SYSTEM = f"CASE WHEN fault NOT IN ('blank', 'duplicate') AND left(role, 1) = 's' THEN {_edit('s0', _KEEP, 'K', _ROW)} END"
+_DELETE = [_edit(f"s{i}", "2", "D", "''") for i in range(4)]
+
+OP13 = f"""
+WITH RECURSIVE base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS nm FROM conversations),
+kinds AS (SELECT nm, {_CRC} % 20 AS kind FROM (SELECT DISTINCT nm FROM base)),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(generate_series(1, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM base JOIN kinds USING (nm) WHERE kind <> 0),
+body AS (SELECT *, coalesce(conv_id, -9223372036854775808) AS cid, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_char FROM damaged),
+seq AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text)) AS rn FROM body),
+flags AS (SELECT *, CASE WHEN last_char = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY rn) > 1 THEN 'duplicate' WHEN last_char NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+          lag(left(role, 1)) OVER (PARTITION BY cid ORDER BY rn) || left(role, 1) AS pair FROM seq),
+stats AS (SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+          count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(rn) AS n FROM flags GROUP BY cid),
+dp AS (
+  SELECT cid, CAST(0 AS BIGINT) AS rn, {{'c': CAST(0 AS BIGINT), 'a': '', 'r': ''}} AS s0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS s1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS s2, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS s3 FROM stats
+  UNION ALL
+  SELECT cid, rn, {_DELETE[0]} AS s0, {_least(_DELETE[1], _SYSTEM)} AS s1, {_least(_DELETE[2], _stay('s0', 'user'), _stay('s1', 'user'), _stay('s3', 'user'))} AS s2, {_least(_DELETE[3], _stay('s2', 'assistant'))} AS s3
+  FROM ({_INSERTED})
+),
+done AS (SELECT cid, {_least('s0', 's3', _edit('s2', '5', 'I', _nl('assistant:')))} AS best FROM dp JOIN stats USING (cid) WHERE dp.rn = stats.n)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id, -9223372036854775808) AS cid FROM conversations) LEFT JOIN stats USING (cid) LEFT JOIN done USING (cid)
+"""
+
+ORACLE = {"op13_audit_repair": OP13, "op12_pca_centroids": OP12, "op2_line_quality": OP2, "op5_winnow": OP5, "op7_recompress": OP7, "op8_superminhash": OP8, "op10_quote_links": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_layout, line_quality, line_suffix, pca_centroids, pivotal_mix, quote_links, recompress, secret_forest, simple8b, superminhash, winnow
+from . import conversation_repair, html_layout, line_quality, line_suffix, pca_centroids, pivotal_mix, quote_links, recompress, secret_forest, simple8b, superminhash, winnow
 from .frames import table
 from .oracle import ORACLE
 
@@ -59,5 +59,10 @@ def op12_pca_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pca_centroids.digests(*pca_centroids.cluster(spark, table(spark, sf_dir, "embeddings")))
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b, op2_line_quality, op3_html_layout, op4_line_suffix, op5_winnow, op6_secret_forest, op7_recompress, op8_superminhash, op9_pivotal_mix, op10_quote_links, op12_pca_centroids)}
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.counted(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audits(spark, conversation_repair.damage(turns), turns)
+
+
+QUERIES = {f.__name__: f for f in (op1_simple8b, op2_line_quality, op3_html_layout, op4_line_suffix, op5_winnow, op6_secret_forest, op7_recompress, op8_superminhash, op9_pivotal_mix, op10_quote_links, op12_pca_centroids, op13_audit_repair)}
 assert set(ORACLE) <= set(QUERIES)
