@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, html_layout, line_quality, line_suffix, pca_centroids, pivotal_mix, quote_links, recompress, secret_forest, simple8b, superminhash, winnow
+from . import conversation_repair, html_layout, line_quality, line_suffix, pca_centroids, pivotal_mix, quote_links, recompress, secret_forest, simple8b, superminhash, toxicity, winnow
 from .frames import table
 from .oracle import ORACLE
 
@@ -55,6 +55,10 @@ def op10_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_links.conversations(spark, table(spark, sf_dir, "conversations"))
 
 
+def op11_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_pca_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pca_centroids.digests(*pca_centroids.cluster(spark, table(spark, sf_dir, "embeddings")))
 
@@ -64,5 +68,5 @@ def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(spark, conversation_repair.damage(turns), turns)
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b, op2_line_quality, op3_html_layout, op4_line_suffix, op5_winnow, op6_secret_forest, op7_recompress, op8_superminhash, op9_pivotal_mix, op10_quote_links, op12_pca_centroids, op13_audit_repair)}
+QUERIES = {f.__name__: f for f in (op1_simple8b, op2_line_quality, op3_html_layout, op4_line_suffix, op5_winnow, op6_secret_forest, op7_recompress, op8_superminhash, op9_pivotal_mix, op10_quote_links, op11_counterfactual, op12_pca_centroids, op13_audit_repair)}
 assert set(ORACLE) <= set(QUERIES)
