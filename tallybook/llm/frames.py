@@ -73,6 +73,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Slots of the key filter: at most so many longs are broadcast.
+SLOTS = 1 << 20
+
+
+def apart(df: DataFrame, other: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``df`` that may have their keys in ``other``, rows that have not), without a shuffle of ``df``.
+
+    Keys are dealt to ``SLOTS`` slots by hash, and the used slots of ``other`` are broadcast: ``SLOTS``
+    longs at most, whatever the size of ``other``.  Rows in a used slot still need the join."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).alias("_slot")
+    used, dealt = F.broadcast(other.select(slot).distinct()), df.select("*", slot)
+    return dealt.join(used, "_slot", "left_semi").drop("_slot"), dealt.join(used, "_slot", "left_anti").drop("_slot")
+
+
 def any_rows(df: DataFrame) -> bool:
     return len(df.limit(1).select(F.lit(1)).take(1)) > 0
 

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import Scratch, any_rows, let, pick, shuffle_partitions
+from .frames import Scratch, any_rows, apart, let, pick, shuffle_partitions
 
 MIN_LINES = 2
 NAMELESS = -(2**63)
@@ -155,7 +155,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES
     gone = s.deleted(min_lines).groupBy("d", "t").agg(F.collect_set("i").alias("gone"))
     runs = s.runs(min_lines).groupBy("d", "t").agg(F.count(F.lit(1)).alias("n_runs"), F.max("n").alias("longest_run"))
     gone = s.scratch.save(gone.join(runs, ["d", "t"], "left"), "gone")
-    out = s.docs.join(gone, ["d", "t"], "left").withColumn("parts", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    # Only texts that lose lines move; the join is a merge at every size.
+    near, rest = apart(s.docs, gone, "d", "t")
+    out = near.join(gone.hint("merge"), ["d", "t"], "left").unionByName(rest, allowMissingColumns=True).withColumn("parts", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     n_lines = F.size(F.filter("parts", _has_word)).cast("long")
     left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(_without(F.col("parts"), F.col("gone")))
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import Scratch, pick
+from .frames import Scratch, apart, pick
 from .words import _TAIL, ALNUM, U, Words, mix, pieces, signed, text_bytes
 
 # Terms that name groups of people, one line a group; the terms of a line are swapped for each other.
@@ -200,20 +200,13 @@ def crc_fold(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5, F.lit(0))
 
 
-#: Slots of the id filter: at most so many longs are broadcast.
-SLOTS = 1 << 20
-
-
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic of the learning rows.
 
-    Ids are dealt to ``SLOTS`` slots; texts whose slot holds no labelled id (found by a broadcast of the
-    used slots, bounded by ``SLOTS``) stay where they are, the others meet their label in the join."""
+    Texts that ``apart`` finds to have no label stay where they are; the others meet theirs in the join."""
     truth = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     truth = truth.where(crc_fold("doc_id") != 0)
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
-    used = truth.select(slot.alias("slot")).distinct()
-    near = docs.where(crc_fold("doc_id") != 0).withColumn("slot", slot).join(F.broadcast(used), "slot", "left_semi").drop("slot")
+    near, _ = apart(docs.where(crc_fold("doc_id") != 0), truth, "doc_id")
     return near.join(truth, "doc_id")
 
 
