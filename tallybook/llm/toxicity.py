@@ -263,17 +263,21 @@ def _rows(names: np.ndarray, terms: Sequence[str]):
                             draws.append(0)
                             cols.append(c)
                             vals.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(draws, pa.int64()), pa.array(cols, pa.list_(pa.int64())), pa.array(vals, pa.list_(pa.float64()))], ["kind", "draw", "cols", "vals"])
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(draws, pa.int64()), pa.array(cols, pa.list_(pa.int32())), pa.array(vals, pa.list_(pa.float32()))], ["kind", "draw", "cols", "vals"])
 
     return run
 
 
 class Sparse:
-    def __init__(self, rows: list, width: int):
-        self.n, self.width = len(rows), width
-        self.row = np.repeat(np.arange(self.n), [len(r[0]) for r in rows]).astype(np.int64)
-        self.col = np.array([c for r in rows for c in r[0]], np.int64)
-        self.val = np.array([v for r in rows for v in r[1]], float)
+    """Sparse rows as three arrays."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], width: int):
+        """``parts``: (entries of each row, features, values)."""
+        sizes = np.concatenate([np.zeros(0, np.int64), *[p[0] for p in parts]])
+        self.n, self.width = len(sizes), width
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        self.col = np.concatenate([np.zeros(0, np.int32), *[p[1] for p in parts]]).astype(np.int32)
+        self.val = np.concatenate([np.zeros(0, np.float32), *[p[2] for p in parts]]).astype(np.float32)
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], self.n)
@@ -317,23 +321,37 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, n_features: i
     identity = [names_of(t) for line in _terms(terms) for t in line]
     names = np.unique(np.concatenate([np.array([r.name for r in best], np.int64).view(U), *identity]))
 
-    sample = scratch.save(rows.select("text", "toxic", F.xxhash64(F.lit(11), "doc_id", "text").alias("draw")).mapInArrow(_rows(names, terms), "kind int, draw long, cols array<long>, vals array<double>"), "sparse")
+    sample = scratch.save(rows.select("text", "toxic", F.xxhash64(F.lit(11), "doc_id", "text").alias("draw")).mapInArrow(_rows(names, terms), "kind int, draw long, cols array<int>, vals array<float>"), "sparse")
     scratch.drop("learning")
-    fitted = [r for c in (0, 1) for r in sample.where(F.col("kind") == c).orderBy("draw", "cols", "vals").limit(max_fit).collect()]  # 2 x max_fit rows
-    changed = sample.where("kind = 2").groupBy("cols", "vals").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "cols", "vals").limit(max_pairs).collect()  # max_pairs rows
+    drawn = [_arrays(_drawn(sample.where(F.col("kind") == c), sizes[c], max_fit)) for c in (0, 1)]  # 2 x max_fit rows
+    changed = sample.where("kind = 2").groupBy("cols", "vals").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "cols", "vals").limit(max_pairs)  # max_pairs rows
     # every swap inside a group, and each term against no term, also where no labelled text has them
     at = {int(n): i for i, n in enumerate(names)}
-    pairs = [(r.cols, r.vals) for r in changed]
+    made = []
     for line in _terms(terms):
         own = [sorted({at[int(n)] for n in names_of(t)}) for t in line]
-        pairs += [(c, [1.0] * len(c)) for c in own]
-        pairs += [([*a, *b], [1.0] * len(a) + [-1.0] * len(b)) for a, b in zip(own, own[1:])]
-    width = len(names)
-    y = np.array([r.kind for r in fitted], float)
-    weights, bias = fit(Sparse([(r.cols, r.vals) for r in fitted], width), y, Sparse(pairs, width), n_toxic / (n_toxic + n_other), ridge, fairness)
+        made += [(c, [1.0] * len(c)) for c in own]
+        made += [([*a, *b], [1.0] * len(a) + [-1.0] * len(b)) for a, b in zip(own, own[1:])]
+    pairs = Sparse([_arrays(changed), (np.array([len(c) for c, _ in made], np.int64), np.array([x for c, _ in made for x in c]), np.array([x for _, v in made for x in v]))], len(names))
+    y = np.repeat([0.0, 1.0], [len(d[0]) for d in drawn])
+    weights, bias = fit(Sparse(drawn, len(names)), y, pairs, n_toxic / (n_toxic + n_other), ridge, fairness)
     return Model(names, weights, bias)
 
 
+def _drawn(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """At most ``most`` of ``n`` rows, those of the smallest draws; most others are left out before the sort."""
+    share = 1.05 * most / n
+    if share < 1:
+        rows = rows.where(F.col("draw") < int(share * 2.0**64) - 2**63)
+    return rows.orderBy("draw", "cols", "vals").limit(most)
+
+
+def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    t = rows.select("cols", "vals").toArrow()
+    cols, vals = t["cols"].combine_chunks(), t["vals"].combine_chunks()
+    return cols.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), cols.flatten().to_numpy(zero_copy_only=False), vals.flatten().to_numpy(zero_copy_only=False)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs`` (doc_id, text)."""
 
