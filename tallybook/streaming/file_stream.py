@@ -1,12 +1,15 @@
 """Incremental file ingest as a Structured Streaming job.
 
-The batch loader is the contract; this runs the very same parse and write
-per micro-batch.  The ``binaryFile`` stream source tracks which files it
-has seen in its checkpoint, ``foreachBatch`` hands each micro-batch of new
-files to :func:`ingest`, and the manifest still decides idempotency (a
-re-delivered file with the same checksum is skipped).  ``availableNow``
-drains what is there and stops -- schedule it like a batch job, or use a
-processing-time trigger to run continuously.
+The batch loader is the contract; this runs the very same scan, parse and write per micro-batch.
+The stream carries file names only: the file source tracks which files it has seen in its
+checkpoint, and ``foreachBatch`` hands the names of a micro-batch (at most ``max_files``) to
+:func:`ingest`, which reads them in parallel blocks, however large they are.
+
+A batch is committed by the manifest rows of its load, whose id begins with the stream's and the
+batch's number.  A batch that Spark replays after a crash is looked up there first: committed, it
+adds nothing; otherwise it is loaded again under a new attempt, and what the dead attempt wrote
+stays invisible.  ``availableNow`` drains what is there and stops -- schedule it like a batch
+job, or use a processing-time trigger to run continuously.
 """
 
 from __future__ import annotations
@@ -15,24 +18,44 @@ import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from ..sources.ingest import BINARY_FILE_SCHEMA, Warehouse, ingest
+from ..sources.ingest import Warehouse, ingest
+
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
+
+
+def load_batch(spark: SparkSession, raw_root: str, warehouse: Warehouse, names: DataFrame, stream: str, batch_id: int) -> bool:
+    """Load the files of one micro-batch (``path``) once; False if a replayed batch was committed before."""
+    marker = f"stream-{stream}-{batch_id:08d}"
+    if warehouse.manifest().where(F.col("load_id").startswith(marker)).take(1):
+        return False
+    paths = [r.path for r in names.select("path").collect()]  # at most max_files names
+    if paths:
+        ingest(spark, raw_root, warehouse, load_id=f"{marker}-{uuid.uuid4().hex}", paths=paths)
+    return True
 
 
 def incremental_file_ingest(spark: SparkSession, raw_root: str, warehouse: Warehouse,
                             checkpoint: str | None = None, available_now: bool = True,
-                            processing_time: str = "1 minute"):
+                            processing_time: str = "1 minute", max_files: int = 1000):
     if checkpoint is None:   # one folder per stream
         pair = hashlib.sha256(f"{raw_root}\n{warehouse.root}".encode()).hexdigest()[:16]
         checkpoint = f"{ensure_checkpoint_dir(spark)}/stream-ingest-{pair}"
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-              .load(raw_root))
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files)
+              .load(raw_root).select("path"))  # content is pruned: no file is read here
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        # One id per attempt: rows of an attempt that died before its manifest stay invisible.
-        ingest(spark, raw_root, warehouse, load_id=f"stream-{batch_id:08d}-{uuid.uuid4().hex}", binary=batch)
+        # the query's id is that of its checkpoint, so a new checkpoint counts as a new stream
+        load_batch(spark, raw_root, warehouse, batch, spark.sparkContext.getLocalProperty("sql.streaming.queryId") or uuid.uuid4().hex, batch_id)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

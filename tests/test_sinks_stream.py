@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallybook.sources.ingest import Warehouse, WarehouseFeeds, ingest
 from tallybook.sources.sinks import write_ledger
-from tallybook.streaming.file_stream import incremental_file_ingest
+from tallybook.sources.lines import Files
+from tallybook.streaming.file_stream import incremental_file_ingest, load_batch
 
 from test_ingest import A_HEADER, _drop, _write
 
@@ -81,3 +82,24 @@ def test_publish_pipeline_ledger_twice_is_stable(spark, models_small):
     stored = spark.read.parquet(path)
     assert stored.count() == n1 == models_small.ledger_entries.count()
     assert stored.groupBy().sum("amount_usd_minor").first()[0] == 0
+
+
+def test_replayed_batch_adds_nothing_and_large_files_are_split(spark):
+    raw = tempfile.mkdtemp(prefix="raw-", dir="/tmp")
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    name, t = "processor_a/balance_transactions_2025-07-12.csv", "processor_a_balance_transactions"
+    row = "txn_{0},2025-07-12 10:00:00,2025-07-14 00:00:00,usd,1.00,0.00,1.00,charge,ch_{0},,1.00,usd,,{0}\n"
+    _write(raw, name, A_HEADER + "\n" + "".join(row.format(i) for i in range(400)))
+    names = spark.createDataFrame([(f"file:{raw}/{name}",)], "path string")
+    wide = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        assert load_batch(spark, raw, wh, names, "s1", 0)
+        assert Files.read(spark, raw, [f"{raw}/{name}"]).lines.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", wide)
+    files = sorted(os.listdir(f"{wh.path(t)}"))
+    assert not load_batch(spark, raw, wh, names, "s1", 0)      # the same batch again
+    assert sorted(os.listdir(f"{wh.path(t)}")) == files and wh.manifest().count() == 1
+    assert load_batch(spark, raw, wh, names, "s2", 0)          # another stream: its files are known already
+    assert wh.manifest().count() == 1 and wh.raw_table(t).count() == 400
