@@ -1,118 +1,54 @@
-"""Skew-proof strict as-of lookup: for each left row, the first right time
-strictly after the left time with the same key.
+"""Strict as-of lookup: for each left row, the first right time strictly after the left time with
+the same key.
 
-Spark has no as-of join.  A window partitioned by key would put a hot key
-(a third of all rows) into one task; a range join would emit all pairs in a
-group.  Instead:
+Spark has no as-of join.  A window partitioned by key would put a hot key (a third of all rows)
+into one task; a range join would emit all pairs in a group.  Instead, with built-in operators only:
 
-1. union left rows (kind 1) and right times (kind 0) into one frame;
-2. ``repartitionByRange(key, time, kind)``: range boundaries come from a
-   sample, so a hot key's time range is split across several tasks;
-   ``sortWithinPartitions`` orders each task's slice;
-3. one vectorised pandas pass per partition (``mapInPandas``): the next
-   right time after each left row is a shifted backward fill, kept only
-   while the key matches; left rows of the partition's last key that find
-   nothing stay *open*; the pass also emits one summary row per partition
-   (its first key, that key's first right time, whether the partition holds
-   only that key);
-4. the summary has one row per partition -- bounded by the partition count,
-   not the data -- and resolves open rows from the following partitions.
+1. the answer depends on (key, time) alone, so both sides are first reduced to their distinct pairs:
+   repeated times, however many, are one row after the map-side aggregate;
+2. time is cut into buckets, and a running minimum over (key, bucket), from the latest time to
+   the earliest, finds the next right time inside the bucket; a hot key is as many tasks as it has
+   buckets;
+3. each (key, bucket) is one row with its first right time; a window over these rows, whose number
+   is bounded by the time range and not by the rows, carries the first right time of the later
+   buckets into the earlier ones;
+4. left rows look their pair up; a pair that many rows share is split by the adaptive skew join.
 
-Right rows at exactly the left time are not "after" (kind 0 sorts first).
+Keys keep their type (no float passes a 64-bit id), nothing is collected and no job runs while the plan
+is built.  Right rows at exactly the left time are not "after".  A null key or time finds nothing.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+HOUR = 3_600_000_000
+
 
 def next_after(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-               out_col: str = "next_at", num_partitions: int | None = None) -> DataFrame:
-    spark = left.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A stable row id for the left side (checkpointed, so a recomputation
-    # after an executor loss cannot renumber rows).
-    left = left.withColumn("_qid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    rows = left.select(F.col(key).cast("bigint").alias("_k"),
-                       F.unix_micros(F.col(left_time).cast("timestamp")).alias("_t"),
-                       F.lit(1).alias("_kind"), "_qid")
-    rights = right.select(F.col(key).cast("bigint").alias("_k"),
-                          F.unix_micros(F.col(right_time).cast("timestamp")).alias("_t"),
-                          F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("_qid"))
-    both = (rows.unionByName(rights).filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-            .repartitionByRange(n, "_k", "_t", "_kind").sortWithinPartitions("_k", "_t", "_kind")
-            .withColumn("_pid", F.spark_partition_id()))
-    out_schema = ("_rec int, _pid int, _k bigint, _qid bigint, _next bigint, _open boolean, "
-                  "_first_k bigint, _first_p bigint, _single boolean")
-    cols = ["_rec", "_pid", "_k", "_qid", "_next", "_open", "_first_k", "_first_p", "_single"]
+               out_col: str = "next_at", bucket_micros: int = HOUR) -> DataFrame:
+    def pairs(df: DataFrame, time: str) -> DataFrame:
+        t = F.unix_micros(F.col(time).cast("timestamp"))
+        both = df.select(F.col(key).alias("_k"), t.alias("_t")).filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+        return both.distinct().withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_micros)).cast("bigint"))
+
+    asked, rights = pairs(left, left_time), pairs(right, right_time)
+    both = asked.withColumn("_asks", F.lit(True)).unionByName(rights.withColumn("_asks", F.lit(False)))
+    right_t = F.when(~F.col("_asks"), F.col("_t"))
 
-    def scan(batches):
-        carry = None
-        pid = first_k = first_p = None
-        single = True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid, first_k = int(pdf["_pid"].iloc[0]), int(pdf["_k"].iloc[0])
-            single = single and bool((pdf["_k"] == first_k).all())
-            if first_p is None:
-                hit = pdf[(pdf["_k"] == first_k) & (pdf["_kind"] == 0)]
-                if len(hit):
-                    first_p = int(hit["_t"].iloc[0])
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            pdf = pdf.reset_index(drop=True)
-            is_right = pdf["_kind"] == 0
-            nt = pdf["_t"].where(is_right).shift(-1).bfill()
-            nk = pdf["_k"].where(is_right).shift(-1).bfill()
-            nxt = nt.where(nk == pdf["_k"])
-            last_k = pdf["_k"].iloc[-1]
-            left_rows = ~is_right
-            pending = left_rows & nxt.isna() & (pdf["_k"] == last_k)
-            done = left_rows & ~pending
-            if done.any():
-                d = pdf[done]
-                yield pd.DataFrame({"_rec": 1, "_pid": pid, "_k": d["_k"].values, "_qid": d["_qid"].values,
-                                    "_next": nxt[done].astype("Int64").values, "_open": False,
-                                    "_first_k": None, "_first_p": None, "_single": None})[cols]
-            carry = pdf[pending]
-        if pid is None:
-            return
-        if carry is not None and len(carry):
-            yield pd.DataFrame({"_rec": 1, "_pid": pid, "_k": carry["_k"].values,
-                                "_qid": carry["_qid"].values, "_next": None, "_open": True,
-                                "_first_k": None, "_first_p": None, "_single": None})[cols]
-        yield pd.DataFrame({"_rec": [2], "_pid": [pid], "_k": [None], "_qid": [None], "_next": [None],
-                            "_open": [None], "_first_k": [first_k], "_first_p": [first_p],
-                            "_single": [single]})[cols]
+    # From the latest time back; of one time the left row comes first, so it does not see equal rights.
+    back = Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc(), F.col("_asks").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_in", F.min(right_t).over(back)).filter("_asks")
 
-    scanned = both.mapInPandas(scan, out_schema).checkpoint(eager=True)
+    heads = both.groupBy("_k", "_b").agg(F.min(right_t).alias("_first"))
+    later = Window.partitionBy("_k").orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = heads.select("_k", "_b", F.min("_first").over(later).alias("_carry"))
 
-    # Open rows (only the last key of a partition can be open) are resolved
-    # from the following partitions' summaries: one row per partition.
-    summary = {r._pid: (r._first_k, r._first_p, r._single)
-               for r in scanned.filter(F.col("_rec") == 2).collect()}
-    cont = []
-    for r in scanned.filter((F.col("_rec") == 1) & F.col("_open")).select("_pid", "_k").distinct().collect():
-        ans = None
-        for q in sorted(p for p in summary if p > r._pid):
-            fk, fp, single = summary[q]
-            if fk != r._k:
-                break
-            if fp is not None:
-                ans = fp
-                break
-            if not single:
-                break
-        cont.append((r._pid, r._k, ans))
-    cont_df = spark.createDataFrame(cont, "_pid int, _k bigint, _cont bigint")
-    found = (scanned.filter(F.col("_rec") == 1)
-             .join(F.broadcast(cont_df), ["_pid", "_k"], "left")   # at most one row per partition
-             .select("_qid", F.timestamp_micros(F.coalesce("_next", "_cont")).alias(out_col)))
-    return left.join(found, "_qid", "left").drop("_qid")
+    found = inside.join(carried, ["_k", "_b"], "left").select(
+        "_k", "_t", F.timestamp_micros(F.coalesce("_in", "_carry")).alias(out_col))
+    out = left.withColumn("_at", F.unix_micros(F.col(left_time).cast("timestamp")))
+    return out.join(found, (F.col(key) == F.col("_k")) & (F.col("_at") == F.col("_t")), "left").drop("_at", "_k", "_t")
 
 
 def after_payout_events(events: DataFrame, orders: DataFrame, seller_payouts: DataFrame) -> DataFrame:

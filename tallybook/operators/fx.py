@@ -18,10 +18,10 @@ def fx_rates_daily(published: DataFrame) -> DataFrame:
                            F.max("rate_date").alias("last_date"))
     days = bounds.select(F.explode(F.sequence(
         F.date_sub("first_date", 7), F.date_add("last_date", 7))).alias("rate_date"))
-    # Currency codes are an ISO-bounded set (< 200): safe to broadcast into the
-    # cross join with the calendar days.
+    # Every currency meets the one row of bounds, and its days are generated beside it.
     currencies = published.select("currency").distinct()
-    spine = days.crossJoin(F.broadcast(currencies))
+    spine = currencies.crossJoin(bounds).select("currency", F.explode(F.sequence(
+        F.date_sub("first_date", 7), F.date_add("last_date", 7))).alias("rate_date"))
     pub = published.select("currency", "rate_date", "units_per_usd",
                            F.lit(True).alias("_published"))
     w = Window.partitionBy("currency").orderBy("rate_date")

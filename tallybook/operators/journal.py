@@ -141,21 +141,31 @@ def journal_settlements(events: DataFrame, orders: DataFrame, rates: DataFrame)
     return out.filter((F.col("amount_usd_minor") != 0) | F.col("amount_usd_minor").isNull())
 
 
+def payout_transit(events: DataFrame, rates: DataFrame) -> DataFrame:
+    """The transit amount that each payout event books (its second journal line), by payout reference.
+
+    From payout events and rates alone: payouts have no order, so no order is read.
+    """
+    r = _rate_lookup(rates, "pt")
+    booked = -to_usd_minor(F.col("net_settlement_minor"), F.col("settlement_currency"), F.col("pt_rate"))
+    out = (events.filter(F.col("event_type") == "payout")
+           .join(r, (F.col("settlement_currency") == F.col("pt_ccy")) & (F.col("event_date") == F.col("pt_date")), "left")
+           .select(F.col("processor_reference").alias("_ref"), booked.cast("bigint").alias("transit_usd_minor")))
+    return out.filter((F.col("transit_usd_minor") != 0) | F.col("transit_usd_minor").isNull())
+
+
 COUNTERPARTIES = ("PROCESSOR A PAYOUTS", "PROCESSOR B SETTLEMENT")
 
 
-def journal_cash(bank: DataFrame, settlement_lines: DataFrame, rates: DataFrame,
+def journal_cash(bank: DataFrame, booked: DataFrame, rates: DataFrame,
                  seller_payouts: DataFrame) -> DataFrame:
     """Bank receipts clear transit; seller payouts and their returns.
 
     A receipt matched to a booked payout clears transit at the booked USD so
     the payout nets to zero; an unmatched one converts at the booking rate
     and leaves transit negative: the break stays visible on purpose.
+    ``booked``: as from :func:`payout_transit`.
     """
-    booked = settlement_lines.filter(
-        (F.col("source_event_type") == "payout") & F.col("account_code").isin("1050", "1060")
-    ).select(F.col("processor_reference").alias("_ref"),
-             F.col("amount_usd_minor").alias("transit_usd_minor"))
     r = _rate_lookup(rates, "br")
     receipts = (bank.filter(F.col("counterparty_name").isin(*COUNTERPARTIES))
                 .join(booked, F.col("end_to_end_reference") == F.col("_ref"), "left")

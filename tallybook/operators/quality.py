@@ -27,9 +27,12 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def relationships(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child values with no parent; AQE broadcasts the parent when it is small."""
+    """Child rows whose value has no parent.  Only the child's distinct values meet the parent; its
+    rows are then read against the few (as a rule no) values that failed."""
     p = parent.select(F.col(parent_col).alias("_p")).distinct()
-    return df.filter(F.col(col).isNotNull()).join(p, F.col(col) == F.col("_p"), "left_anti")
+    values = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    orphans = values.join(p, F.col("_v") == F.col("_p"), "left_anti").select("_v")
+    return df.join(orphans, F.col(col) == F.col("_v"), "left_semi")
 
 
 def sums_to_zero(df: DataFrame, value: str, group: Column | str) -> DataFrame:

@@ -11,7 +11,12 @@ from .journal import COUNTERPARTIES
 
 
 def order_settlement_match(orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Full outer match of orders and charges on order id."""
+    """Full outer match of orders and charges on order id.
+
+    Charges without an order id match nothing and stay out of the join; the others look their
+    order up (a left join, whose charge side the adaptive skew join splits), and orders without a
+    charge are found by an anti join with the distinct order ids of the charges.
+    """
     o = orders.select(F.col("order_id").alias("o_id"), F.col("currency").alias("order_currency"),
                       F.col("amount_minor").alias("order_amount_minor"),
                       F.col("processor").alias("o_proc"), "processor_charge_ref",
@@ -21,7 +26,11 @@ def order_settlement_match(orders: DataFrame, events: DataFrame) -> DataFrame:
         F.col("presentment_currency").alias("settled_currency"),
         F.col("presentment_amount_minor").alias("settled_amount_minor"),
         F.col("processor").alias("c_proc"), "processor_reference", "event_date")
-    j = o.join(c, o["o_id"] == c["c_oid"], "full_outer")
+    known = c.filter(F.col("c_oid").isNotNull())
+    paired = known.join(o, F.col("c_oid") == F.col("o_id"), "left")
+    lone = o.join(known.select(F.col("c_oid").alias("_id")).distinct(), F.col("o_id") == F.col("_id"), "left_anti")
+    j = (paired.unionByName(c.filter(F.col("c_oid").isNull()), allowMissingColumns=True)
+         .unionByName(lone, allowMissingColumns=True))
     status = (F.when(F.col("settlement_event_id").isNull(), "order_without_settlement")
               .when(F.col("o_id").isNull(), "settlement_without_order")
               .when((F.col("order_currency") != F.col("settled_currency"))

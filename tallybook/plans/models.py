@@ -12,9 +12,11 @@ and a lost executor recomputes nothing upstream.
 from __future__ import annotations
 
 import uuid
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import accounting as acc
 from ..operators import journal, metrics, recon, staging
@@ -47,9 +49,14 @@ _TABLES: dict[tuple, str] = {}
 
 
 class Models:
+    published = 0   # how often books were published in this application
+
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = DEFAULT_POLICY,
-                 feeds: DriverFeeds | None = None, tables: bool = True):
+                 feeds: DriverFeeds | None = None, tables: bool = True, books: str | None = None):
+        """``books``: folder of the published books.  Once :meth:`publish` has filled it, the ledger and the general
+        ledger are read from there, partition by partition, and publishing again posts the lookback months only."""
         apply_runtime_defaults(spark)
+        self.books = books.rstrip("/") if books else None
         self.spark = spark
         self.sf_dir = sf_dir
         self.policy = policy
@@ -76,23 +83,53 @@ class Models:
                 timings[f"wave{i}"] = round(time.time() - t, 3)
         return timings
 
-    def publish_ledger(self, path: str, full_refresh: bool = False) -> dict:
-        """Write the ledger to its month-partitioned table (lookback rebuild)."""
-        from ..sources.sinks import write_ledger
-        return write_ledger(self.spark, self.ledger_entries, path, self.policy, full_refresh)
+    def posted_since(self, cutoff: date | None) -> DataFrame:
+        """Ledger lines with a posting date from ``cutoff`` on (None: all), posted from the events, bank rows and
+        seller payouts of those months only; amounts that older payouts booked are looked up from payout events."""
+        if cutoff is None:
+            return journal.ledger_entries(self.journal_settlements, self.journal_cash)
+        since = F.lit(cutoff)
+        settled = journal.journal_settlements(self._events.filter(F.col("event_month") >= since).drop("event_month") if self.books
+                                              else self.settlement_events.filter(F.col("event_date") >= since), self.stg_orders, self.fx_rates_daily)
+        cash = journal.journal_cash(self.stg_bank.filter(F.col("booking_date") >= since), journal.payout_transit(self.settlement_events, self.fx_rates_daily),
+                                    self.fx_rates_daily, self.stg_seller_payouts).filter(F.col("posting_date") >= since)
+        return journal.ledger_entries(settled, cash)
 
-    def _m(self, name: str, build) -> DataFrame:
+    def publish_ledger(self, path: str, full_refresh: bool = False) -> dict:
+        """Write the ledger to its month-partitioned table; on an existing one only the lookback months are posted."""
+        from ..sources.sinks import lookback_cutoff, write_ledger
+        cutoff = None if full_refresh else lookback_cutoff(self.spark, path, self.policy.ledger_lookback_days)
+        return write_ledger(self.spark, self.posted_since(cutoff), path, self.policy, full_refresh)
+
+    def publish(self, full_refresh: bool = False) -> dict:
+        """Bring the published books up to date: the ledger, then the general ledger with its close lines."""
+        from ..sources.sinks import write_general_ledger
+        info = self.publish_ledger(f"{self.books}/ledger_entries", full_refresh)
+        Models.published += 1   # stored tables of the state before are not read any more
+        info["general_ledger"] = write_general_ledger(self.spark, self.ledger_entries_by_month, self.journal_close, f"{self.books}/general_ledger", info["cutoff"])
+        return info
+
+    def _book(self, name: str) -> DataFrame | None:
+        """A published table with its month, or None if there is none yet."""
+        from ..sources.sinks import stored_months
+        if not self.books or not stored_months(self.spark, f"{self.books}/{name}"):
+            return None
+        return self.spark.read.parquet(f"{self.books}/{name}")
+
+    def _m(self, name: str, build, by: str | None = None) -> DataFrame:
         """A table model: written once to the shared checkpoint folder (lineage
         cut, executor-loss safe), then every reader scans the Parquet copy."""
         if not self.tables or name not in TABLE_MODELS:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.source, self.policy, name)
+        state = (self.books, Models.published) if self.books else ()
+        key = (self.spark.sparkContext.applicationId, self.source, self.policy, name, *state)
         with landing_lock(key):
             path = _TABLES.get(key)
             if path is None:
                 root = ensure_checkpoint_dir(self.spark)
                 path = f"{root}/tables-{uuid.uuid4().hex[:10]}/{name}"
-                build().write.mode("overwrite").parquet(path)
+                df = build().hint("rebalance", by) if by else build()
+                (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
                 _TABLES[key] = path
         return self.spark.read.parquet(path)
 
@@ -167,8 +204,16 @@ class Models:
     def fx_rates_daily(self) -> DataFrame:
         return self._m("fx_rates_daily", lambda: fx_rates_daily(self.stg_fx))
 
+    @property
+    def _events(self) -> DataFrame:
+        """Settlement events by month, for posting from a cutoff on."""
+        return self._m("settlement_events", lambda: journal.settlement_events(
+            self.stg_processor_a_txns, self.stg_processor_b_lines).withColumn("event_month", F.trunc("event_date", "MM")), by="event_month")
+
     @property
     def settlement_events(self) -> DataFrame:
+        if self.books:
+            return self._events.drop("event_month")
         return self._m("settlement_events", lambda: journal.settlement_events(
             self.stg_processor_a_txns, self.stg_processor_b_lines))
 
@@ -179,13 +224,21 @@ class Models:
 
     @property
     def journal_cash(self) -> DataFrame:
-        return journal.journal_cash(self.stg_bank, self.journal_settlements, self.fx_rates_daily,
-                                    self.stg_seller_payouts)
+        return journal.journal_cash(self.stg_bank, journal.payout_transit(self.settlement_events, self.fx_rates_daily),
+                                    self.fx_rates_daily, self.stg_seller_payouts)
+
+    @property
+    def ledger_entries_by_month(self) -> DataFrame:
+        """The ledger with ``posting_month``: the published partitions, if there are any."""
+        book = self._book("ledger_entries")
+        return book if book is not None else self.ledger_entries.withColumn("posting_month", F.trunc("posting_date", "MM"))
 
     @property
     def ledger_entries(self) -> DataFrame:
-        return self._m("ledger_entries", lambda: journal.ledger_entries(
-            self.journal_settlements, self.journal_cash))
+        book = self._book("ledger_entries")
+        if book is not None:
+            return book.drop("posting_month")
+        return self._m("ledger_entries", lambda: self.posted_since(None))
 
     @property
     def month_ends(self) -> DataFrame:
@@ -211,9 +264,19 @@ class Models:
     # -- marts ---------------------------------------------------------------
     @property
     def general_ledger(self) -> DataFrame:
-        # A view: the ledger table plus a few hundred close lines (no copy of the ledger).
+        # Published: its month partitions.  Otherwise a view: the ledger table plus a few hundred close lines.
+        book = self._book("general_ledger")
+        if book is not None:
+            return book.select(*journal.LEDGER_COLUMNS)
         return acc.general_ledger(self.ledger_entries, self.journal_close)
 
+    def general_ledger_month(self, month: date) -> DataFrame:
+        """One month of the general ledger; published, only that month's partition is read."""
+        book = self._book("general_ledger")
+        if book is not None:
+            return book.filter(F.col("posting_month") == F.lit(month)).select(*journal.LEDGER_COLUMNS)
+        return self.general_ledger.filter(F.trunc("posting_date", "MM") == F.lit(month))
+
     @property
     def trial_balance(self) -> DataFrame:
         return self._m("trial_balance", lambda: acc.trial_balance(
