@@ -35,16 +35,18 @@ def register(key: str, needs: tuple[str, ...], sql: str | None):
 
 
 # -- dashboards: finance close ----------------------------------------------------------
-@register("dash_tb_check", ("trial_balance",), """
-SELECT month_end, sum(closing_balance_usd_minor) / 100 AS trial_balance_net_usd,
-       CASE WHEN sum(closing_balance_usd_minor) = 0 THEN 'balanced' ELSE 'OUT OF BALANCE' END AS status
-FROM trial_balance GROUP BY month_end ORDER BY month_end DESC""")
+@register("dash_tb_check", ("general_ledger", "month_ends"), """
+SELECT month_end, net / 100 AS trial_balance_net_usd, if(net = 0, 'balanced', 'OUT OF BALANCE') AS status
+FROM (SELECT m.month_end, coalesce(sum(g.amount_usd_minor), 0) AS net FROM month_ends m LEFT JOIN general_ledger g ON g.posting_date <= m.month_end GROUP BY m.month_end) t""")
 def _(m): return dash.tb_check(m.trial_balance)
 
 
-@register("dash_income_statement", ("close_package",), """
-SELECT month_end, section, line_item, amount_usd FROM close_package
-WHERE statement = 'income_statement' ORDER BY month_end DESC, line_order""")
+@register("dash_income_statement", ("trial_balance",), """
+SELECT month_end, section, line_item, CAST(CAST(sum(minor) AS DECIMAL(38,0)) / 100 AS DECIMAL(38,2)) AS amount_usd
+FROM (SELECT month_end, unnest([account_type, 'total']) AS section, unnest([account_name, 'net_income']) AS line_item,
+             unnest([if(account_type = 'revenue', -1, 1), -1]) * period_net_usd_minor AS minor
+      FROM trial_balance SEMI JOIN (VALUES ('revenue'), ('expense')) kinds(account_type) USING (account_type)) lines
+GROUP BY ALL""")
 def _(m): return dash.income_statement(m.close_package)
 
 
@@ -55,27 +57,37 @@ def _(m): return dash.recon_days(m.daily_reconciliation)
 
 
 @register("dash_payout_recon", ("payout_reconciliation",), """
-SELECT recon_status, processor, currency, count(*) AS payouts,
-       CAST(sum(abs(difference_minor)) AS BIGINT) AS abs_difference_minor_units
-FROM payout_reconciliation GROUP BY ALL ORDER BY payouts DESC""")
+SELECT DISTINCT recon_status, processor, currency, count(*) OVER kind AS payouts, CAST(sum(greatest(difference_minor, -difference_minor)) OVER kind AS BIGINT) AS abs_difference_minor_units
+FROM payout_reconciliation WINDOW kind AS (PARTITION BY currency, processor, recon_status)""")
 def _(m): return dash.payout_recon_summary(m.payout_reconciliation)
 
 
-@register("dash_match_status", ("order_settlement_match",), """
-SELECT match_status, processor, count(*) AS orders FROM order_settlement_match GROUP BY ALL ORDER BY orders DESC""")
+@register("dash_match_status", ("stg_orders", "settlement_events"), """
+SELECT 'order_without_settlement' AS match_status, processor, count(*) AS orders FROM stg_orders o
+WHERE NOT EXISTS (FROM settlement_events c WHERE c.event_type = 'charge' AND c.order_id = o.order_id) GROUP BY processor
+UNION ALL
+SELECT 'settlement_without_order', processor, count(*) FROM settlement_events c
+WHERE event_type = 'charge' AND NOT EXISTS (FROM stg_orders o WHERE o.order_id = c.order_id) GROUP BY processor
+UNION ALL
+SELECT CASE coalesce((o.currency, o.amount_minor) <> (c.presentment_currency, c.presentment_amount_minor), false) WHEN true THEN 'amount_mismatch' ELSE 'matched' END, c.processor, count(*)
+FROM settlement_events c JOIN stg_orders o USING (order_id) WHERE c.event_type = 'charge' GROUP BY 1, 2""")
 def _(m): return dash.match_status(m.order_settlement_match)
 
 
-@register("dash_missing_batches", ("batch_gaps",), """
-SELECT missing_batch_number, expected_payout_reference FROM batch_gaps ORDER BY missing_batch_number""")
+@register("dash_missing_batches", ("raw_processor_b",), """
+SELECT here + gap AS missing_batch_number, format('PAYOUT-{:04d}', here + gap) AS expected_payout_reference
+FROM (SELECT here, unnest(generate_series(1, later - here - 1)) AS gap
+      FROM (SELECT n AS here, lead(n) OVER (ORDER BY n) AS later
+            FROM (SELECT DISTINCT TRY_CAST(nullif(regexp_extract(_source_file, 'settlement_detail_report_batch_([0-9]+)[.]csv$', 1), '') AS BIGINT) AS n FROM raw_processor_b) b
+            WHERE n IS NOT NULL) steps) holes""")
 def _(m): return dash.missing_batches(m.batch_gaps)
 
 
-@register("dash_fx", ("trial_balance",), """
-SELECT month_end,
-       sum(CASE WHEN account_code = '5200' THEN period_net_usd_minor ELSE 0 END) / 100 AS realized_fx_loss_usd,
-       sum(CASE WHEN account_code = '5210' THEN period_net_usd_minor ELSE 0 END) / 100 AS unrealized_fx_loss_usd
-FROM trial_balance GROUP BY month_end ORDER BY month_end""")
+@register("dash_fx", ("general_ledger", "month_ends"), """
+SELECT m.month_end, coalesce(loss[1], 0) / 100 AS realized_fx_loss_usd, coalesce(loss[2], 0) / 100 AS unrealized_fx_loss_usd
+FROM month_ends m LEFT JOIN (
+  SELECT last_day(posting_date) AS month_end, [sum(amount_usd_minor) FILTER (account_code = '5200'), sum(amount_usd_minor) FILTER (account_code = '5210')] AS loss
+  FROM general_ledger WHERE account_code IN ('5200', '5210') GROUP BY 1) fx ON fx.month_end = m.month_end""")
 def _(m): return dash.fx_cost(m.trial_balance)
 
 
@@ -87,15 +99,22 @@ FROM seller_balance_aging GROUP BY month_end ORDER BY month_end""")
 def _(m): return dash.bad_debt(m.seller_balance_aging)
 
 
+# The months' totals straight from the orders, one entry a measure.
+_MONTHS = """FROM (SELECT order_month, map_from_entries(list((name, total))) AS t
+      FROM (SELECT date_trunc('month', order_date)::DATE AS order_month, name, sum(amount) AS total
+            FROM (SELECT order_date, unnest(['orders', 'refunds', 'disputes', 'gmv', 'revenue', 'margin', 'losses']) AS name,
+                         unnest([1, CAST(is_refunded AS INTEGER), dispute_count, gmv_usd_minor, platform_fee_revenue_usd_minor, contribution_usd_minor, dispute_loss_to_seller_usd_minor]) AS amount
+                  FROM order_economics) facts GROUP BY ALL) months GROUP BY order_month) m"""
+
+
 # -- dashboards: unit economics ---------------------------------------------------------
-@register("dash_gmv_revenue", ("metrics_monthly",), """
-SELECT order_month, gmv_usd_minor / 100 AS gmv_usd, net_revenue_usd_minor / 100 AS net_revenue_usd
-FROM metrics_monthly ORDER BY order_month""")
+@register("dash_gmv_revenue", ("order_economics",), f"""
+SELECT order_month, CAST(t['gmv'] AS BIGINT) / 100 AS gmv_usd, CAST(t['revenue'] AS BIGINT) / 100 AS net_revenue_usd {_MONTHS}""")
 def _(m): return dash.gmv_revenue(m.metrics_monthly)
 
 
-@register("dash_take_rate", ("metrics_monthly",), """
-SELECT order_month, take_rate, contribution_margin FROM metrics_monthly ORDER BY order_month""")
+@register("dash_take_rate", ("order_economics",), f"""
+SELECT order_month, {div("t['revenue']", "t['gmv']")} AS take_rate, {div("t['margin']", "t['revenue']")} AS contribution_margin {_MONTHS}""")
 def _(m): return dash.take_rate(m.metrics_monthly)
 
 
@@ -105,34 +124,32 @@ FROM unit_economics_monthly GROUP BY ALL ORDER BY order_month""")
 def _(m): return dash.margin_by_region(m.unit_economics_monthly)
 
 
-@register("dash_by_processor", ("unit_economics_monthly",), f"""
-SELECT processor, sum(gmv_usd_minor) / 100 AS gmv_usd,
-       {div('sum(net_revenue_usd_minor)', 'sum(gmv_usd_minor)')} AS take_rate,
-       {div('sum(processing_cost_usd_minor)', 'sum(gmv_usd_minor)')} AS processing_cost_rate,
-       {div('sum(realized_fx_loss_usd_minor)', 'sum(gmv_usd_minor)')} AS fx_loss_rate,
-       {div('sum(contribution_usd_minor)', 'sum(net_revenue_usd_minor)')} AS contribution_margin
-FROM unit_economics_monthly GROUP BY processor""")
+@register("dash_by_processor", ("order_economics",), f"""
+SELECT processor, g / 100 AS gmv_usd, {div('r', 'g')} AS take_rate, {div('f', 'g')} AS processing_cost_rate, {div('x', 'g')} AS fx_loss_rate, {div('r - f - x', 'r')} AS contribution_margin
+FROM (SELECT processor, sum(gmv_usd_minor) AS g, sum(platform_fee_revenue_usd_minor) AS r, sum(processing_fee_usd_minor) AS f, sum(realized_fx_loss_usd_minor) AS x
+      FROM order_economics GROUP BY processor) t""")
 def _(m): return dash.by_processor(m.unit_economics_monthly)
 
 
-@register("dash_refund_dispute", ("metrics_monthly",), """
-SELECT order_month, refund_rate, dispute_rate_count, chargeback_loss_rate FROM metrics_monthly ORDER BY order_month""")
+@register("dash_refund_dispute", ("order_economics",), f"""
+SELECT order_month, {div("t['refunds']", "t['orders']")} AS refund_rate, {div("t['disputes']", "t['orders']")} AS dispute_rate_count, {div("t['losses']", "t['gmv']")} AS chargeback_loss_rate {_MONTHS}""")
 def _(m): return dash.refund_dispute(m.metrics_monthly)
 
 
-@register("dash_by_plan", ("unit_economics_monthly",), f"""
-SELECT plan_name, CAST(sum(orders) AS BIGINT) AS orders, sum(gmv_usd_minor) / 100 AS gmv_usd,
-       {div('sum(net_revenue_usd_minor)', 'sum(gmv_usd_minor)')} AS take_rate,
-       {div('sum(contribution_usd_minor)', 'sum(net_revenue_usd_minor)')} AS contribution_margin,
-       {div('sum(refunded_orders)', 'sum(orders)')} AS refund_rate
-FROM unit_economics_monthly GROUP BY plan_name ORDER BY gmv_usd DESC""")
+@register("dash_by_plan", ("order_economics",), f"""
+SELECT DISTINCT plan_name, count(*) OVER plan AS orders, sum(gmv_usd_minor) OVER plan / 100 AS gmv_usd,
+       {div('sum(platform_fee_revenue_usd_minor) OVER plan', 'sum(gmv_usd_minor) OVER plan')} AS take_rate,
+       {div('sum(contribution_usd_minor) OVER plan', 'sum(platform_fee_revenue_usd_minor) OVER plan')} AS contribution_margin,
+       {div('count(*) FILTER (is_refunded) OVER plan', 'count(*) OVER plan')} AS refund_rate
+FROM order_economics WINDOW plan AS (PARTITION BY plan_name)""")
 def _(m): return dash.by_plan(m.unit_economics_monthly)
 
 
 # -- dashboards: churn and retention -----------------------------------------------------
-@register("dash_churn_rates", ("seller_churn_monthly",), """
-SELECT activity_month, seller_churn_rate, revenue_churn_rate FROM seller_churn_monthly
-WHERE seller_churn_rate IS NOT NULL ORDER BY activity_month""")
+@register("dash_churn_rates", ("churn_facts", "seller_months"), f"""
+SELECT month AS activity_month, {div("coalesce(t['out churned'], 0)", "t['start']")} AS seller_churn_rate, {div("coalesce(t['revenue churned'], 0)", "t['revenue']")} AS revenue_churn_rate
+FROM (SELECT month, map_from_entries(list((measure, amount))) AS t FROM (SELECT month, measure, sum(amount) AS amount FROM churn_facts GROUP BY ALL) GROUP BY month) f
+WHERE t['start'] > 0 AND t['out undetermined'] IS NULL AND month IN (SELECT activity_month FROM seller_months)""")
 def _(m): return dash.churn_rates(m.seller_churn_monthly)
 
 
@@ -143,9 +160,10 @@ FROM seller_churn_monthly WHERE seller_churn_rate IS NOT NULL ORDER BY activity_
 def _(m): return dash.seller_flows(m.seller_churn_monthly)
 
 
-@register("dash_closures", ("seller_churn_monthly",), """
-SELECT activity_month, churned_sellers, account_closures, active_sellers FROM seller_churn_monthly
-WHERE seller_churn_rate IS NOT NULL ORDER BY activity_month""")
+@register("dash_closures", ("churn_facts", "seller_months"), """
+SELECT month AS activity_month, CAST(coalesce(t['out churned'], 0) AS BIGINT) AS churned_sellers, CAST(coalesce(t['closed'], 0) AS BIGINT) AS account_closures, CAST(coalesce(t['active'], 0) AS BIGINT) AS active_sellers
+FROM (SELECT month, map_from_entries(list((measure, amount))) AS t FROM (SELECT month, measure, sum(amount) AS amount FROM churn_facts GROUP BY ALL) GROUP BY month) f
+WHERE t['start'] > 0 AND t['out undetermined'] IS NULL AND month IN (SELECT activity_month FROM seller_months)""")
 def _(m): return dash.closures(m.seller_churn_monthly)
 
 
