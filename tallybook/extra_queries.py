@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .oracle import duckdb_sql as osql
 from .oracle.duckdb_sql import div
-from .operators import activity, dashboards as dash, quality as dq, recon
+from .operators import activity, checks, dashboards as dash, quality as dq, recon
 from .operators.metrics import metric
 from .plans.models import Models
 
@@ -463,3 +463,16 @@ def _(m):
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("detection_table"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# -- all column tests, and the same kinds of test on rows that fail them -----------------------
+_ALL, _ALL_NEEDS = checks.oracle(checks.CHECKS)
+_RAW, _RAW_NEEDS = checks.oracle(checks.RAW_CHECKS)
+
+
+@register("dq_checks", _ALL_NEEDS, _ALL)
+def _(m): return checks.failures(m, checks.CHECKS)
+
+
+@register("dq_checks_raw", _RAW_NEEDS, _RAW)
+def _(m): return checks.failures(m, checks.RAW_CHECKS)
