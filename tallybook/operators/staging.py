@@ -20,9 +20,51 @@ def _nullif_empty(c) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+#: A date, with a time or not, with a fraction or not, with a zone (none: UTC) or not, blanks around it or not.
+_ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?)?)?$"
+
+
 def _iso_ts(c: str) -> Column:
-    """App-database ISO-8601 'Z' timestamps; empty string -> null."""
-    return F.try_to_timestamp(_nullif_empty(c), F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
+    """ISO-8601 timestamps in any of their usual forms; empty or unreadable -> null
+    (the unreadable ones are rows of :func:`app_exceptions`)."""
+    text = F.trim(F.col(c))
+    return F.when(text.rlike(_ISO), F.try_to_timestamp(text))
+
+
+# The key and the timestamps of every app-database feed.
+APP_TIMES = {
+    "app_db_orders": ("order_id", ("created_at",)), "app_db_products": ("product_id", ("created_at",)),
+    "app_db_refunds": ("refund_id", ("created_at",)), "app_db_seller_payouts": ("payout_id", ("initiated_at", "settled_at", "returned_at")),
+    "app_db_seller_plan_changes": ("seller_id", ("effective_from",)), "app_db_sellers": ("seller_id", ("created_at", "churned_at")),
+}
+
+
+def _exception_rows(raw: DataFrame, table: str, key: Column, reasons: Column) -> DataFrame:
+    file = F.col("_source_file") if "_source_file" in raw.columns else F.lit(None).cast("string")
+    line = F.col("_source_line") if "_source_line" in raw.columns else F.lit(None)
+    return raw.select(F.lit(table).alias("source_table"), key.cast("string").alias("record_key"), F.explode(F.array_compact(reasons)).alias("invalid_reason"),
+                      file.alias("_source_file"), line.cast("bigint").alias("_source_line"))
+
+
+def app_exceptions(feeds: dict[str, DataFrame]) -> DataFrame:
+    """One row per timestamp that holds text but cannot be read, of every app-database feed."""
+    out = None
+    for table, raw in feeds.items():
+        key, times = APP_TIMES[table]
+        reasons = F.array(*[F.when((F.trim(F.col(c)) != "") & _iso_ts(c).isNull(), F.lit(f"unparseable {c}")) for c in times])
+        rows = _exception_rows(raw, table, F.col(key), reasons)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def fx_exceptions(raw: DataFrame) -> DataFrame:
+    """USD-based rates that are not numbers."""
+    reason = F.array(F.when((F.upper("base_currency") == "USD") & _rate().isNull(), F.lit("unparseable rate")))
+    return _exception_rows(raw, "fx_reference_rates", F.concat_ws("/", "rate_date", F.upper("quote_currency")), reason)
+
+
+def _rate() -> Column:
+    return F.col("rate").try_cast("decimal(38,9)")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str], descending: bool = False) -> DataFrame:
@@ -131,9 +173,11 @@ def stg_bank(raw: DataFrame) -> DataFrame:
 
 
 def stg_fx(raw: DataFrame) -> DataFrame:
-    """USD-based rates only; the latest file wins per (date, currency)."""
-    typed = raw.filter(F.upper("base_currency") == "USD").select(
-        F.col("rate").try_cast("decimal(38,9)").alias("units_per_usd"),
+    """USD-based rates only; the latest file wins per (date, currency).
+
+    A rate that is no number is a row of :func:`fx_exceptions` and hides no earlier one."""
+    typed = raw.filter((F.upper("base_currency") == "USD") & _rate().isNotNull()).select(
+        _rate().alias("units_per_usd"),
         F.upper("quote_currency").alias("currency"),
         F.try_to_date("rate_date", "yyyy-MM-dd").alias("rate_date"),
         "_source_file", "_source_line")
@@ -265,8 +309,9 @@ def stg_processor_b_lines(base: DataFrame) -> DataFrame:
 
 
 # -- exceptions ----------------------------------------------------------------
-def stg_exceptions(base_a: DataFrame, base_b: DataFrame, load_exceptions: DataFrame) -> DataFrame:
-    """Everything that arrived but cannot be trusted, with the reason."""
+def stg_exceptions(base_a: DataFrame, base_b: DataFrame, load_exceptions: DataFrame, *others: DataFrame) -> DataFrame:
+    """Everything that arrived but cannot be trusted, with the reason; ``others``: as from
+    :func:`app_exceptions` and :func:`fx_exceptions`."""
     a = base_a.filter(F.col("invalid_reason").isNotNull()).select(
         F.lit("processor_a_balance_transactions").alias("source_table"),
         F.coalesce("balance_transaction_id", "source_id").alias("record_key"),
@@ -280,4 +325,7 @@ def stg_exceptions(base_a: DataFrame, base_b: DataFrame, load_exceptions: DataFr
         F.col("line_number").cast("string").alias("record_key"),
         F.col("reason").alias("invalid_reason"), "_source_file",
         F.col("line_number").alias("_source_line"))
-    return a.unionByName(b).unionByName(loader)
+    out = a.unionByName(b).unionByName(loader)
+    for o in others:
+        out = out.unionByName(o)
+    return out

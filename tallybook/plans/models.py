@@ -192,8 +192,9 @@ class Models:
 
     @cached_property
     def stg_exceptions(self) -> DataFrame:
-        return staging.stg_exceptions(self.base_processor_a, self.base_processor_b,
-                                      self.raw.load_exceptions)
+        app = {t: getattr(self.raw, t.replace("app_db_", "raw_").replace("seller_plan_changes", "plan_changes")) for t in staging.APP_TIMES}
+        return staging.stg_exceptions(self.base_processor_a, self.base_processor_b, self.raw.load_exceptions,
+                                      staging.app_exceptions(app), staging.fx_exceptions(self.raw.raw_fx))
 
     @cached_property
     def chart_of_accounts(self) -> DataFrame:
