@@ -2,14 +2,17 @@
 
 A page is tokenised, a tree is built with the implied end tags of HTML (p, li, dt,
 dd, option, table parts, headings inside p, ...), invisible parts are left out
-(head, script, style, template, ``hidden``, ``display:none``, ``visibility:hidden``,
-closed by the element that carries them), and the visible rest is rendered:
+(head, script, style, template, ``hidden``, ``display:none``, closed by the element that
+carries them; ``visibility:hidden`` hides the text below it up to an element that is
+``visible`` again), and the visible rest is rendered:
 
 * paragraphs, headings, lists, tables, quotes and rules have a blank line around
   them, other blocks start on a new line, ``br`` breaks the line;
 * list items get ``- `` or their number, nested lists and quotes are indented;
 * the cells of a table are padded to the width of their columns and joined by ``  ``;
-  a cell keeps its blocks, lists and pre as lines of its own, ``colspan`` counts;
+  a cell keeps its blocks, lists and pre as lines of its own, ``colspan`` and ``rowspan`` count;
+  elements around rows or cells (a form, a link) do not keep them out of the table, and
+  what is inside a table but in no cell comes before it;
 * white space runs are one blank, but inside ``pre`` and ``textarea`` they stay.
 
 Defined cases: a null page gives a null text, an empty one an empty text; unclosed
@@ -37,9 +40,9 @@ INDENT = 2000
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist meta link".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link desc metadata defs symbol clippath mask annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre hr figure fieldset menu".split())
-BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary tbody td tfoot th thead tr".split())
+BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary tbody td text tfoot th thead tr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 #: start tag -> (open elements it ends, elements it does not look beyond)
 IMPLIED = {
@@ -59,15 +62,18 @@ SCOPE = frozenset("table td th caption html button object template".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_HIDE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_HIDE = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|[;\s])visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _WS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "seen", "start", "span")
+    __slots__ = ("tag", "kids", "seen", "shown", "cells", "start", "span", "down")
 
-    def __init__(self, tag: str, seen: bool = True, start: int = 1, span: int = 1):
-        self.tag, self.kids, self.seen, self.start, self.span = tag, [], seen, start, span
+    def __init__(self, tag: str, seen: bool = True, shown: bool = True, start: int | None = None, span: int = 1, down: int = 1):
+        self.tag, self.kids, self.seen, self.shown, self.start, self.span, self.down = tag, [], seen, shown, start, span, down
+        #: whether rows or cells of the table around it are below this element
+        self.cells = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -83,6 +89,16 @@ def _visible(tag: str, attrs: dict[str, str]) -> bool:
     return not ("style" in attrs and _HIDE.search(attrs["style"]))
 
 
+def _shown(attrs: dict[str, str], parent: bool) -> bool:
+    said = _VISIBILITY.findall(attrs["style"]) if "style" in attrs else []
+    return said[-1].lower() == "visible" if said else parent
+
+
+def _number(text: str | None, least: int, most: int) -> int | None:
+    text = (text or "").strip()
+    return min(max(int(text), least), most) if re.fullmatch(r"-?[0-9]{1,9}", text) else None
+
+
 def build(page: str) -> Node:
     """The element tree; text nodes are strings with entities resolved."""
     root = Node("#root")
@@ -91,7 +107,7 @@ def build(page: str) -> Node:
     at, n = 0, len(page)
 
     def add_text(s: str) -> None:
-        if s:
+        if s and stack[-1].shown:
             stack[-1].kids.append(entities.unescape(s) if "&" in s else s)
 
     def push(node: Node) -> None:
@@ -148,15 +164,20 @@ def build(page: str) -> Node:
                 close(frozenset(["head"]), frozenset())
             if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag):
                 cut(len(stack) - 1)
-            start = attrs.get("start", "")
-            span = attrs.get("colspan", "").strip()
-            span = min(max(int(span), 1), 1000) if re.fullmatch(r"[0-9]{1,9}", span) else 1
-            node = Node(tag, _visible(tag, attrs), int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1, span)
+            shown = _shown(attrs, stack[-1].shown)
+            start = _number(attrs.get("value" if tag == "li" else "start"), -999_999_999, 999_999_999)
+            down = _number(attrs.get("rowspan"), 0, 65534)
+            node = Node(tag, _visible(tag, attrs) and (shown or tag not in VOID), shown, start, _number(attrs.get("colspan"), 1, 1000) or 1, 65534 if down == 0 else down or 1)
             stack[-1].kids.append(node)
+            if tag in ("td", "th", "tr"):
+                for above in reversed(stack):
+                    if above.cells or above.tag == "table":
+                        break
+                    above.cells = True
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
                 body = page[at : end.start() if end else n]
-                if node.seen and tag in ("textarea", "xmp"):
+                if node.seen and shown and tag in ("textarea", "xmp"):
                     node.kids.append(entities.unescape(body) if tag == "textarea" else body)
                 if end:
                     gt = page.find(">", end.end())
@@ -292,13 +313,14 @@ def render(node: Node, out: Layout, in_list: bool = False) -> Generator:
 
 
 def lists(node: Node, out: Layout) -> Generator:
-    number = node.start
+    number = 1 if node.start is None else node.start
     indent = out.indent
     for kid in node.kids:
         if isinstance(kid, str):
             out.text(kid)
         elif kid.tag == "li" and kid.seen:
             out.line_end()
+            number = number if kid.start is None else kid.start
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
             out.lead, out.indent = indent + mark, (indent + " " * len(mark))[:INDENT]
@@ -328,34 +350,66 @@ def plain(node: Node) -> str:
 
 def table(node: Node, out: Layout) -> Generator:
     rows: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines
+    taken: dict[int, int] = {}  # column -> last row that a cell from above reaches down to
 
     def walk(part: Node) -> Generator:
         for kid in part.kids:
-            if isinstance(kid, str) or not kid.seen:
-                if isinstance(kid, str) and kid.strip():
-                    out.write(_WS.sub(" ", kid).strip())  # text outside cells comes before the table
+            if isinstance(kid, str):
+                if kid.strip():
+                    out.write(_WS.sub(" ", kid).strip())
+            elif not kid.seen:
                 continue
-            if kid.tag == "tr":
-                yield row([c for c in kid.kids if isinstance(c, Node) and c.seen and c.tag in ("td", "th")])
+            elif kid.tag == "tr":
+                yield row(kid)
             elif kid.tag in ("td", "th"):
-                yield row([kid])
+                alone = Node("tr")
+                alone.kids = [kid]
+                yield row(alone)
             elif kid.tag == "caption":
                 for line in (yield cell(kid)):
                     out.write(line)
             elif kid.tag in ("thead", "tbody", "tfoot"):
+                taken.clear()  # no cell reaches out of its group
+                yield walk(kid)
+                taken.clear()
+            elif kid.cells:
                 yield walk(kid)
             else:
-                inner = Node("#group")
-                inner.kids = [kid]
-                yield render(inner, out)
-                out.line_end()
-
-    def row(cells: list[Node]) -> Generator:
-        at, got = 0, []
-        for c in cells:
-            got.append((at, c.span, (yield cell(c))))
-            at += c.span
+                yield stray([kid])
+
+    def stray(kids: list) -> Generator:
+        """What is in no cell comes before the table."""
+        inner = Node("#group")
+        inner.kids = kids
+        yield render(inner, out)
+        out.line_end()
+
+    def row(tr: Node) -> Generator:
+        got: list[tuple[int, int, list[str]]] = []
+        nth = len(rows)
         rows.append(got)
+        yield cells(tr, got, nth)
+
+    def cells(part: Node, got: list, nth: int) -> Generator:
+        """The cells of a row, also those that other elements wrap."""
+        others: list = []
+        for kid in part.kids:
+            if isinstance(kid, Node) and kid.seen and kid.tag in ("td", "th"):
+                at = got[-1][0] + got[-1][1] if got else 0
+                while taken.get(at, -1) >= nth:
+                    at += 1
+                if kid.down > 1:
+                    taken.update(dict.fromkeys(range(at, at + kid.span), nth + kid.down - 1))
+                got.append((at, kid.span, []))
+                got[-1][2].extend((yield cell(kid)))
+            elif isinstance(kid, Node) and kid.seen and kid.tag == "tr":  # a row inside a wrapper inside a row
+                yield row(kid)
+            elif isinstance(kid, Node) and kid.seen and kid.cells:
+                yield cells(kid, got, nth)
+            else:
+                others.append(kid)
+        if any(isinstance(k, Node) or k.strip() for k in others):
+            yield stray(others)
 
     def cell(c: Node) -> Generator:
         inner = Layout()
@@ -371,7 +425,13 @@ def table(node: Node, out: Layout) -> Generator:
     room = lambda lo, hi: sum(widths[lo:hi]) + 2 * (hi - lo - 1)
     for lo, hi, lines in sorted((x for got in spans for x in got), key=lambda x: x[1] - x[0]):
         widths[hi - 1] += max(0, max(map(width, lines), default=0) - room(lo, hi))
-    for got in spans:
+    for short in spans:
+        got, end = [], 0
+        for lo, hi, lines in short:
+            if lo > end:  # columns that a cell from above holds
+                got.append((end, lo, []))
+            got.append((lo, hi, lines))
+            end = hi
         rooms = [room(lo, hi) for lo, hi, _ in got]
         for i in range(max((len(lines) for _, _, lines in got), default=0)):
             texts = [lines[i] if i < len(lines) else "" for _, _, lines in got]

@@ -74,14 +74,17 @@ def _share(c: Column, cls: str) -> Column:
 
 
 def features(found: DataFrame, vocab: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Candidates with the columns ``FEATURES``."""
-    strings = scratch.save(found.select("found").distinct(), "strings")
+    """Candidates with the columns ``FEATURES``.  A string is named by a number before its words and letter
+    pairs leave it: the work is linear in its length."""
+    strings = scratch.save(found.select("found").distinct().withColumn("string", F.monotonically_increasing_id()), "strings")
     low = F.lower("found")
-    runs = strings.select("found", F.explode(F.regexp_extract_all(low, F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
-    known = runs.join(vocab.select("word"), "word", "left_semi").groupBy("found").agg(F.sum(F.length("word")).alias("in_words"))
-    two = F.transform(F.sequence(F.lit(1), F.length("found") - 1), lambda i: F.substring(low, i, F.lit(2)))
-    steps = strings.select("found", F.explode(two).alias("pair")).join(pairs, "pair", "left").groupBy("found").agg(F.avg(F.coalesce("logp", F.lit(-9.0))).alias("transitions"))
-    table = strings.join(scratch.save(known, "known"), "found", "left").join(scratch.save(steps, "steps"), "found", "left")
+    runs = strings.select("string", F.explode(F.regexp_extract_all(low, F.lit("[a-z]{3,}"), F.lit(0))).alias("word")).groupBy("string", "word").agg(F.count(F.lit(1)).alias("times"))
+    known = runs.join(vocab.select("word"), "word", "left_semi").groupBy("string").agg(F.sum(F.length("word") * F.col("times")).alias("in_words"))
+    letters = F.split(low, "")
+    two = let(letters, lambda x: F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: F.concat(a, b)))
+    steps = strings.where(F.length("found") > 1).select("string", F.explode(two).alias("pair")).groupBy("string", "pair").agg(F.count(F.lit(1)).alias("times")).join(pairs, "pair", "left")
+    steps = steps.groupBy("string").agg((F.sum(F.coalesce("logp", F.lit(-9.0)) * F.col("times")) / F.sum("times")).alias("transitions"))
+    table = strings.join(scratch.save(known, "known"), "string", "left").join(scratch.save(steps, "steps"), "string", "left")
     c = F.col("found")
     change = F.regexp_count(c, F.lit("(?<=[0-9])(?=[^0-9])|(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[+/_=-])(?=[A-Za-z0-9])"))
     table = scratch.save(table.select("found", F.length(c).cast("double").alias("length"), _share(c, "0-9").alias("digits"), _share(c, "A-Z").alias("uppers"), _share(c, "a-z").alias("lowers"), _share(c, "+/_=-").alias("signs"), _share(c, "0-9a-fA-F").alias("hexes"), (change / F.length(c)).alias("changes"), F.coalesce("transitions", F.lit(-9.0)).alias("transitions"), (F.coalesce("in_words", F.lit(0)) / F.length(c)).alias("coverage")), "table")
@@ -148,7 +151,8 @@ def weak_labels(rows: DataFrame) -> DataFrame:
 
 def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5, max_train: int = 10_000, min_count: int = MIN_DOCS, scratch: Scratch | None = None, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """doc_id, nth (word number * 65536 + number in the word), length, secret_sha256, probability, secret.
-    ``labelled``: findings with columns ``found`` and ``label`` (0/1); without them ``weak_labels`` serve."""
+    ``labelled``: findings with columns ``found`` and ``label`` (0/1); without them ``weak_labels`` serve.
+    With labels of one class only nothing is fitted: probability 0 for all if they are 0, else 1; without any label 1."""
     scratch = scratch or Scratch(spark, "secrets")
     base = pick(docs, doc_id=doc_id, text=text, path=path)
     found = scratch.save(candidates(base), "found")
