@@ -68,10 +68,12 @@ _WS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "seen", "shown", "cells", "start", "span", "down")
+    __slots__ = ("tag", "kids", "seen", "shown", "mute", "cells", "start", "span", "down")
 
     def __init__(self, tag: str, seen: bool = True, shown: bool = True, start: int | None = None, span: int = 1, down: int = 1):
         self.tag, self.kids, self.seen, self.shown, self.start, self.span, self.down = tag, [], seen, shown, start, span, down
+        #: whether characters right inside this element are not drawn (an svg draws those of its text elements)
+        self.mute = False
         #: whether rows or cells of the table around it are below this element
         self.cells = False
 
@@ -107,7 +109,7 @@ def build(page: str) -> Node:
     at, n = 0, len(page)
 
     def add_text(s: str) -> None:
-        if s and stack[-1].shown:
+        if s and stack[-1].shown and not stack[-1].mute:
             stack[-1].kids.append(entities.unescape(s) if "&" in s else s)
 
     def push(node: Node) -> None:
@@ -168,6 +170,7 @@ def build(page: str) -> Node:
             start = _number(attrs.get("value" if tag == "li" else "start"), -999_999_999, 999_999_999)
             down = _number(attrs.get("rowspan"), 0, 65534)
             node = Node(tag, _visible(tag, attrs) and (shown or tag not in VOID), shown, start, _number(attrs.get("colspan"), 1, 1000) or 1, 65534 if down == 0 else down or 1)
+            node.mute = tag == "svg" or stack[-1].mute and tag not in ("text", "foreignobject")
             stack[-1].kids.append(node)
             if tag in ("td", "th", "tr"):
                 for above in reversed(stack):
