@@ -163,7 +163,7 @@ def _emit_names(width: int):
                 new = np.ones(len(at), bool)
                 new[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
                 doc, name = doc[new], name[new]
-                yield pa.record_batch({"name": pa.array(signed(name)), "id": pa.array(_ids(batch, lo, hi)[doc], pa.int64()), "t": pa.array(_ids(batch, lo, hi, "t")[doc], pa.int64())})
+                yield pa.record_batch({"name": pa.array(signed(name)), "id": pa.array(_ids(batch, lo, hi)[doc], pa.int64())})
 
     return run
 
@@ -249,10 +249,12 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, width: int, scratch:
     # Ids all of whose texts are copies: their windows are all held by a smaller id, so nobody else needs them.
     spent = base.select("id", "t").distinct().join(copies.withColumn("copy", F.lit(1)), ["id", "t"], "left").groupBy("id").agg(F.count("copy").alias("c"), F.count(F.lit(1)).alias("n")).where("c = n").select("id")
     spent = scratch.save(spent, "spent")
-    names = base.select("id", "t", "text").mapInArrow(_emit_names(width), "name long, id long, t long")
+    # texts without an id are asked for one by one (a hash that equals an id costs a look, no more)
+    base_of = base.withColumn("of", F.when(F.col("id") == NAMELESS, F.col("t")).otherwise(F.col("id")))
+    names = base_of.select(F.col("of").alias("id"), "text").mapInArrow(_emit_names(width), "name long, id long")
     shared = scratch.save(names.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("name"), "shared")
-    asked = scratch.save(names.join(shared, "name").groupBy("id", "t").agg(F.collect_set("name").alias("names")), "asked")  # a text's own names
-    held = scratch.save(base.join(asked.join(spent, "id", "left_anti"), ["id", "t"]), "held")
+    asked = scratch.save(names.join(shared, "name").groupBy(F.col("id").alias("of")).agg(F.collect_set("name").alias("names")), "asked")
+    held = scratch.save(base_of.join(asked.join(spent.select(F.col("id").alias("of")), "of", "left_anti"), "of").drop("of"), "held")
     scratch.drop("shared", "asked", "whole", "wholes")
     seen = held.mapInArrow(_emit_windows(width, False), "w1 long, w2 long, id long")
     first = scratch.save(seen.groupBy("w1", "w2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("w1", "w2", "lo"), "first")
