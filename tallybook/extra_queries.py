@@ -476,3 +476,61 @@ def _(m): return checks.failures(m, checks.CHECKS)
 
 @register("dq_checks_raw", _RAW_NEEDS, _RAW)
 def _(m): return checks.failures(m, checks.RAW_CHECKS)
+
+
+# -- the loader on the feeds' files: three loads (first, same again, restated), and a backfill ---------
+_FIRST = r"regexp_matches(file, 'balance_transactions_[0-9]{4}-01-01\.csv$')"
+osql.cte("drop_files", ("raw_processor_a", "load_exceptions", "raw_processor_b", "raw_bank", "raw_fx"), r"""
+SELECT file, source, sum(good) AS good, sum(bad) AS bad,
+       CASE WHEN source = 'processor_b_settlement_details' THEN coalesce(min(day) FILTER (closing), arg_min(day, line)) ELSE try_cast(nullif(regexp_extract(file, '[0-9]{4}-[0-9]{2}-[0-9]{2}'), '') AS DATE) END AS file_date
+FROM (SELECT regexp_replace(_source_file, '-[0-9]{2}[.]csv$', '-01.csv') AS file, 'processor_a_balance_transactions' AS source, 1 AS good, 0 AS bad, NULL AS day, false AS closing, NULL AS line FROM raw_processor_a
+      UNION ALL SELECT regexp_replace(_source_file, '-[0-9]{2}[.]csv$', '-01.csv'), 'processor_a_balance_transactions', 0, 1, NULL, false, NULL FROM load_exceptions
+      UNION ALL SELECT _source_file, 'processor_b_settlement_details', 1, 0, TRY_CAST(creation_date[1:10] AS DATE), type = 'MerchantPayout', _source_line FROM raw_processor_b
+      UNION ALL SELECT regexp_replace(_source_file, '-[0-9]{2}[.]csv$', '-01.csv'), 'bank_statements', 1, 0, NULL, false, NULL FROM raw_bank
+      UNION ALL SELECT regexp_replace(_source_file, '-[0-9]{2}[.]csv$', '-01.csv'), 'fx_reference_rates', 1, 0, NULL, false, NULL FROM raw_fx) lines
+GROUP BY file, source""")
+
+
+def _drops(key: str, needs: tuple[str, ...], sql: str):
+    """Register a query over the loaded drops."""
+    from .sources.drops import loaded_drops
+
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(loaded_drops(spark, sf_dir))
+        run.__name__ = key
+        QUERIES[key] = run
+        ORACLE[key] = osql.with_ctes(sql, needs)
+        return fn
+    return deco
+
+
+@_drops("load_results", ("drop_files",), f"""
+SELECT run, file AS file_name, source, CASE WHEN run = 1 THEN 'loaded' WHEN run = 3 AND {_FIRST} THEN 'replaced' ELSE 'skipped' END AS status,
+       CAST(CASE WHEN run = 1 OR run = 3 AND {_FIRST} THEN good ELSE 0 END AS BIGINT) AS rows,
+       CAST(CASE WHEN run = 1 THEN bad WHEN run = 3 AND {_FIRST} THEN bad + 1 ELSE 0 END AS BIGINT) AS exceptions
+FROM drop_files, (VALUES (1), (2), (3)) runs(run)""")
+def _(d): return d.results()
+
+
+@_drops("load_manifest_entries", ("drop_files",), f"""
+SELECT file AS file_name, source, file_date, CAST(good AS BIGINT) AS row_count, CAST(bad + CAST({_FIRST} AS INTEGER) AS BIGINT) AS exception_count, 'loaded' AS status, '' AS reason FROM drop_files""")
+def _(d): return d.warehouse.latest_manifest().select("file_name", "source", "file_date", "row_count", "exception_count", "status", "reason")
+
+
+@_drops("load_settled_rows", ("raw_processor_a",), r"""
+SELECT * REPLACE (CASE WHEN regexp_matches(_source_file, 'balance_transactions_[0-9]{4}-01-01\.csv$') THEN 'said "' || description || '",' || chr(10) || 'again' ELSE description END AS description)
+FROM (SELECT balance_transaction_id, created_utc, currency, gross, fee, net, reporting_category, source_id, description, customer_facing_amount, automatic_payout_id, payment_metadata_order_id, regexp_replace(_source_file, '-[0-9]{2}[.]csv$', '-01.csv') AS _source_file FROM raw_processor_a) rows""")
+def _(d): return d.warehouse.raw_table("processor_a_balance_transactions").select("balance_transaction_id", "created_utc", "currency", "gross", "fee", "net", "reporting_category", "source_id", "description", "customer_facing_amount", "automatic_payout_id", "payment_metadata_order_id", "_source_file")
+
+
+@_drops("load_exception_rows", ("load_exceptions", "drop_files"), f"""
+SELECT regexp_replace(_source_file, '-[0-9][0-9][.]csv$', '-01.csv') AS _source_file, source, reason, raw_line FROM load_exceptions
+UNION ALL SELECT file, source, 'expected 14 fields, got 2', 'restated,short' FROM drop_files WHERE {_FIRST}""")
+def _(d): return d.warehouse.exceptions().select("_source_file", "source", "reason", "raw_line")
+
+
+@_drops("load_backfill", ("drop_files",), f"""
+SELECT file AS file_name, source, 'loaded' AS status, CAST(good AS BIGINT) AS rows, CAST(bad + CAST({_FIRST} AS INTEGER) AS BIGINT) AS exceptions
+FROM drop_files WHERE file_date BETWEEN DATE '1995-02-01' AND DATE '1995-04-30'""")
+def _(d): return d.backfill()
