@@ -60,6 +60,17 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[df[src].alias(dst) for dst, src in cols.items()])
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns by name, whatever signs the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """``df``'s rows as one column ``_row`` (``select("_row.*")`` gives them back) beside the given keys,
+    which no column of the input can clash with."""
+    return df.select(F.struct(*columns(df)).alias("_row"), *[value.alias(name) for name, value in keys.items()])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once: the planner cannot copy it into each use."""
     return F.get(F.transform(F.array(value), body), 0)

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .frames import Scratch, pick
+from .frames import Scratch, columns, pick
 from .words import LOWER, Words, pieces, text_bytes, windows
 
 SYMBOLS = np.zeros(256, bool)
@@ -140,10 +141,11 @@ def common_lines(spark: SparkSession, facts: DataFrame, max_docs: int, scratch:
 def strip_common_lines(docs: DataFrame, lost: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """``docs`` without the lines that ``judge`` found lost (``lost_lines``), by host and hash of the
     text; only documents that lose a line are put together anew, other lines stay as they are."""
-    gone = lost.groupBy(F.col("host").alias("_h"), F.col("t").alias("_t")).agg(F.collect_set("line").alias("_gone"))
-    key = F.when(F.col(host).isNull(), "").otherwise(F.concat(F.lit("="), F.col(host)))
-    keyed = docs.withColumn("_host", key).withColumn("_key", F.xxhash64(text))
-    names, at = docs.columns, docs.columns.index(text)
+    gone = lost.groupBy(F.col("host").alias("lost_of"), F.col("t").alias("lost_by")).agg(F.collect_set("line").alias("gone"))
+    key = F.when(docs[host].isNull(), "").otherwise(F.concat(F.lit("="), docs[host]))
+    at, names = docs.columns.index(text), [f"c{i}" for i in range(len(docs.columns))]  # plain names on the way through Arrow
+    keyed = docs.select(*[c.alias(n) for c, n in zip(columns(docs), names)], key.alias("of"), F.xxhash64(docs[text]).alias("by"))
+    plain = StructType([StructField(n, f.dataType, f.nullable) for n, f in zip(names, docs.schema)])
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,5 +158,5 @@ def strip_common_lines(docs: DataFrame, lost: DataFrame, text: str = "text", hos
     def without(body: bytes, lines: set) -> bytes:
         return b"\n".join(x for x in body.split(b"\n") if not x.split() or line_hash(normal_line(x)) not in lines)
 
-    on = (keyed["_host"] == gone["_h"]) & (keyed["_key"] == gone["_t"])
-    return keyed.join(gone, on, "left").select(*docs.columns, "_gone").mapInArrow(strip, docs.schema)
+    on = (F.col("of") == F.col("lost_of")) & (F.col("by") == F.col("lost_by"))
+    return keyed.join(gone, on, "left").select(*names, "gone").mapInArrow(strip, plain).toDF(*docs.columns)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import Scratch, any_rows, pick, ranked, same, shuffle_partitions
+from .frames import Scratch, any_rows, packed, pick, ranked, same, shuffle_partitions
 
 GROUP = 4096
 WEIGHTS = (5, 2, 1)
@@ -139,10 +139,9 @@ def mixed_rows(spark: SparkSession, docs: DataFrame, share: float = 1.5, seed: i
     scratch = scratch or Scratch(spark, "mix")
     taken = mix(spark, docs, share, seed, scratch, doc_id, text, source).groupBy(F.col("doc_id").alias("_d"), F.col("t").alias("_t")).agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).cast("int").alias("_copies"))
     taken = scratch.save(taken, "taken")
-    keyed = docs.withColumn("_key", F.xxhash64(text, source))
-    on = same(keyed[doc_id], F.col("_d")) & (F.col("_key") == F.col("_t"))
-    single = keyed.join(taken.where("_rows = 1 AND _copies > 0"), on)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    double = keyed.join(taken.where("_rows > 1 AND _copies > 0"), on).select(row.alias("_row"), "_d", "_t", "_copies").groupBy("_d", "_t").agg(F.first("_row").alias("_row"), F.first("_copies").alias("_copies"))
+    rows = packed(docs, _id=docs[doc_id], _key=F.xxhash64(docs[text], docs[source]))
+    on = same(rows["_id"], taken["_d"]) & (rows["_key"] == taken["_t"])
+    single = rows.join(taken.where("_rows = 1 AND _copies > 0"), on)
+    double = rows.join(taken.where("_rows > 1 AND _copies > 0"), on).groupBy("_d", "_t").agg(F.first("_row").alias("_row"), F.first("_copies").alias("_copies"))
     times = F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")
-    return single.select(row.alias("_row"), times).select("_row.*").unionAll(double.select("_row", times).select("_row.*"))
+    return single.select("_row", times).select("_row.*").unionAll(double.select("_row", times).select("_row.*"))

@@ -46,3 +46,20 @@ def test_quality_stage_removes_common_lines(spark, tmp_path):
     # the first holder, its copy and another host keep the line
     want = [(i, rows[0][1] if i in (0, 100) else rows[4][1] if i == 200 else body[i]) for i in [0, 1, 2, 3, 3, *range(4, 55), 100, 200]]
     assert sorted((r.doc_id, r.text) for r in got.collect()) == want
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    body = ["\n".join([" ".join(f"w{i}_{j}" for j in range(40)), "all rights reserved"]) for i in range(55)]
+    names = "`a.b` string, _host string, _of string, _by string, _key long, _row string, _gone string, _d long, _t long, _c long, _copies int, _id int, `x``y` int"
+    extra = ("dot", "h", "o", "b", 1, "r", "g", 2, 3, 4, 5, 6, 7)
+    rows = [(i, t, "en", f"s{i % 2}", len(t), *extra) for i, t in enumerate(body)] + [(0, body[0], "en", "s0", 1, *extra), (60, body[1], "en", "s1", 1, *extra)]
+    docs = spark.createDataFrame(rows, TABLE + ", " + names)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("i1", body[3])], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and {tuple(r)[5:] for r in got} == {extra}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(rows)
