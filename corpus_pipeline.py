@@ -16,16 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import line_quality, pivotal_mix, simple8b, superminhash, winnow
-from tallybook.llm.frames import Scratch, same, table
-
-KEY = "_text_key"
+from tallybook.llm.frames import Scratch, packed, same, table
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` but for the rows whose (doc_id, t) is rejected; only the rejected side is a small one."""
     gone = rejected.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t")).distinct()
-    keyed = docs.withColumn(KEY, F.xxhash64("text"))
-    return keyed.join(gone, same(keyed["doc_id"], gone["_d"]) & (keyed[KEY] == gone["_t"]), "left_anti").select(*docs.columns)
+    rows = packed(docs, _id=docs["doc_id"], _key=F.xxhash64(docs["text"]))
+    return rows.join(gone, same(rows["_id"], gone["_d"]) & (rows["_key"] == gone["_t"]), "left_anti").select("_row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +41,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = _without(docs, found.where(~F.col("kept")))
     again = scratch.save(found.where("kept AND n_shingles > 0").groupBy(F.col("component_id").alias("_c")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_c"), "again")
     # Only repeated ids: their rows with words are brought to one, rows without words link with nothing.
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    repeated = left.join(again, same(left["doc_id"], again["_c"]) & worded, "left_semi")
-    rest = left.join(again, same(left["doc_id"], again["_c"]) & worded, "left_anti")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = repeated.groupBy(F.col("doc_id").alias("_c")).agg(F.min_by(row, F.xxhash64("text")).alias("_row")).select("_row.*")
-    return rest.unionAll(one)
+    rows = packed(left, _id=left["doc_id"], _key=F.xxhash64(left["text"]), _worded=F.coalesce(left["text"], F.lit("")).rlike("[^\\x20\\x09-\\x0D]"))
+    on = same(rows["_id"], again["_c"]) & rows["_worded"]
+    one = rows.join(again, on, "left_semi").groupBy("_id").agg(F.min_by("_row", "_key").alias("_row"))
+    return rows.join(again, on, "left_anti").select("_row.*").unionAll(one.select("_row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
