@@ -46,27 +46,44 @@ def to_minor_units(amount, currency) -> Column:
     )
 
 
-def to_usd_minor(amount_minor, currency, units_per_usd) -> Column:
+def scaled_rate(units_per_usd) -> Column:
+    """A rate times 10^9 as a bigint, null if it has no room there (see :func:`to_usd_minor`)."""
+    rate = _c(units_per_usd)
+    return F.when(rate.between(0, LARGEST_SCALED), (rate.cast("decimal(25,9)") * F.lit(RATE_SCALE)).cast("bigint"))
+
+
+#: Rates and amounts up to these convert in 64-bit arithmetic, with the same result.
+LARGEST_SCALED, LARGEST_AMOUNT = 4_000_000_000, 9_000_000_000
+
+
+def to_usd_minor(amount_minor, currency, units_per_usd, scaled=None) -> Column:
     """Minor units of ``currency`` -> USD minor units, banker's rounding once.
 
-    Exact integer form in decimal(38,0): with R = rate * 10^9, n = m * 10^9
-    (m * 10^11 for a zero-decimal currency), q = n div R and r = n % R (both
-    truncate toward zero); step q away from zero when 2|r| > R, or 2|r| = R
-    and q is odd.  Every bigint m fits (|n| < 10^31).
+    Exact integer form: with R = rate * 10^9, n = m * 10^9 (m * 10^11 for a
+    zero-decimal currency), q = n div R and r = n % R (both truncate toward
+    zero); step q away from zero when 2|r| > R, or 2|r| = R and q is odd.  In
+    decimal(38,0) every bigint m fits (|n| < 10^31); where n and 2R fit a bigint
+    the same steps run in 64 bits.  ``scaled``: the rate as from :func:`scaled_rate`,
+    if it is at hand.
     """
     m, ccy = _c(amount_minor), _c(currency)
+    zero_dec = ccy.isin(*ZERO_DECIMAL_CURRENCIES)
+    scaled = scaled_rate(units_per_usd) if scaled is None else _c(scaled)
+
+    def convert(n: Column, big_r: Column, of: str) -> Column:
+        q, r = _int_div(n, big_r), (n % big_r).cast(of)
+        twice = (F.abs(r) * F.lit(2)).cast(of)
+        bump = F.when((twice > big_r) | ((twice == big_r) & (q % 2 != 0)),
+                      F.signum(n).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        return q + bump
+
     whole = "decimal(38,0)"
-    big_r = (_c(units_per_usd).cast("decimal(25,9)") * F.lit(RATE_SCALE)).cast(whole)
-    scale = F.when(ccy.isin(*ZERO_DECIMAL_CURRENCIES), F.lit(100 * RATE_SCALE)) \
-        .otherwise(F.lit(RATE_SCALE)).cast("decimal(12,0)")
-    n = (m.cast("decimal(20,0)") * scale).cast(whole)
-    q = _int_div(n, big_r)
-    r = (n % big_r).cast(whole)
-    twice = (F.abs(r) * F.lit(2)).cast(whole)
-    bump = F.when((twice > big_r) | ((twice == big_r) & (q % 2 != 0)),
-                  F.signum(n).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    converted = q + bump
-    return F.when(ccy == "USD", m.cast("bigint")).otherwise(converted)
+    wide = convert((m.cast("decimal(20,0)") * F.when(zero_dec, F.lit(100 * RATE_SCALE)).otherwise(F.lit(RATE_SCALE)).cast("decimal(12,0)")).cast(whole),
+                   (_c(units_per_usd).cast("decimal(25,9)") * F.lit(RATE_SCALE)).cast(whole), whole)
+    narrow = convert(m.cast("bigint") * F.when(zero_dec, F.lit(100 * RATE_SCALE)).otherwise(F.lit(RATE_SCALE)).cast("bigint"), scaled, "bigint")
+    most = F.when(zero_dec, F.lit(LARGEST_AMOUNT // 100)).otherwise(F.lit(LARGEST_AMOUNT))
+    fits = scaled.isNotNull() & (scaled > 0) & m.between(-most, most)
+    return F.when(ccy == "USD", m.cast("bigint")).when(fits, narrow).otherwise(wide)
 
 
 def _int_div(a: Column, b: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import to_usd_minor
+from ..functions.money import scaled_rate, to_usd_minor
 
 EVENT_TYPE_BY_B_RECORD = {
     "Settled": "charge", "Refunded": "refund", "Chargeback": "dispute", "Fee": "dispute_fee",
@@ -73,7 +73,8 @@ def settlement_events(stg_a: DataFrame, stg_b: DataFrame) -> DataFrame:
 def _rate_lookup(rates: DataFrame, prefix: str) -> DataFrame:
     return rates.select(F.col("currency").alias(f"{prefix}_ccy"),
                         F.col("rate_date").alias(f"{prefix}_date"),
-                        F.col("units_per_usd").alias(f"{prefix}_rate"))
+                        F.col("units_per_usd").alias(f"{prefix}_rate"),
+                        scaled_rate("units_per_usd").alias(f"{prefix}_scaled"))   # once per rate, not per line
 
 
 def journal_settlements(events: DataFrame, orders: DataFrame, rates: DataFrame) -> DataFrame:
@@ -97,13 +98,13 @@ def journal_settlements(events: DataFrame, orders: DataFrame, rates: DataFrame)
                 events["*"], "seller_id",
                 F.col("_oid").isNotNull().alias("is_matched"),
                 to_usd_minor(F.col("net_settlement_minor"), F.col("settlement_currency"),
-                             F.col("sr_rate")).alias("net_usd"),
+                             F.col("sr_rate"), "sr_scaled").alias("net_usd"),
                 to_usd_minor(F.col("fee_minor"), F.col("settlement_currency"),
-                             F.col("sr_rate")).alias("fee_usd"),
+                             F.col("sr_rate"), "sr_scaled").alias("fee_usd"),
                 to_usd_minor(F.col("presentment_amount_minor"), F.col("presentment_currency"),
-                             F.col("pr_rate")).alias("booked_usd"),
+                             F.col("pr_rate"), "pr_scaled").alias("booked_usd"),
                 to_usd_minor(F.col("platform_fee_minor"), F.col("order_currency"),
-                             F.col("pr_rate")).alias("platform_fee_usd")))
+                             F.col("pr_rate"), "pr_scaled").alias("platform_fee_usd")))
     is_a = F.col("processor") == "processor_a"
     cash = F.when(is_a, "1000").otherwise("1010")
     transit = F.when(is_a, "1050").otherwise("1060")
@@ -147,7 +148,7 @@ def payout_transit(events: DataFrame, rates: DataFrame) -> DataFrame:
     From payout events and rates alone: payouts have no order, so no order is read.
     """
     r = _rate_lookup(rates, "pt")
-    booked = -to_usd_minor(F.col("net_settlement_minor"), F.col("settlement_currency"), F.col("pt_rate"))
+    booked = -to_usd_minor(F.col("net_settlement_minor"), F.col("settlement_currency"), F.col("pt_rate"), "pt_scaled")
     out = (events.filter(F.col("event_type") == "payout")
            .join(r, (F.col("settlement_currency") == F.col("pt_ccy")) & (F.col("event_date") == F.col("pt_date")), "left")
            .select(F.col("processor_reference").alias("_ref"), booked.cast("bigint").alias("transit_usd_minor")))
@@ -173,7 +174,7 @@ def journal_cash(bank: DataFrame, booked: DataFrame, rates: DataFrame,
                       & (F.col("booking_date") == F.col("br_date")), "left"))
     is_usd = F.col("currency") == "USD"
     amt = F.coalesce(F.col("transit_usd_minor"),
-                     to_usd_minor(F.col("amount_minor"), F.col("currency"), F.col("br_rate")))
+                     to_usd_minor(F.col("amount_minor"), F.col("currency"), F.col("br_rate"), "br_scaled"))
     receipts = receipts.withColumn("_amt", amt)
     rlines = F.array(_line(F.when(is_usd, "1100").otherwise("1110"), F.col("_amt")),
                      _line(F.when(is_usd, "1050").otherwise("1060"), -F.col("_amt")))

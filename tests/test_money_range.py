@@ -49,3 +49,21 @@ def test_rates_of_nine_decimals_reach_the_conversion(spark):
     for ccy, rate, scale in (("EUR", "0.923456789", 1), ("JPY", "149.1234565", 100)):
         assert got[ccy] == (Decimal(rate), int((Decimal(10**13) * scale / Decimal(rate)).quantize(Decimal(1), ROUND_HALF_EVEN)))
     assert got["USD"] == (1, 10**13)
+
+
+def test_64_bit_path_equals_decimal_path_at_its_edges(spark):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from pyspark.sql import functions as F
+
+    from tallybook.functions.money import LARGEST_AMOUNT, LARGEST_SCALED, to_usd_minor
+    rates = ["0.000000001", "0.923456789", "1", "2", "8", "157.5", "3999999999.999999999", str(LARGEST_SCALED), "4000000000.000000001", "9999999999"]
+    amounts = [0, 1, -1, 3, 5, -5, 12345, LARGEST_AMOUNT // 100, LARGEST_AMOUNT // 100 + 1, LARGEST_AMOUNT, -LARGEST_AMOUNT, LARGEST_AMOUNT + 1, 10**15 + 7]
+    rows = [(m, c, Decimal(r)) for m in amounts for c in ("EUR", "JPY") for r in rates if abs(m) * (100 if c == "JPY" else 1) / Decimal(r) < 2**62]
+    df = spark.createDataFrame(rows, "m long, c string, r decimal(38,9)")
+    for row in df.withColumn("usd", to_usd_minor("m", "c", F.col("r"))).collect():
+        exact = Decimal(row.m) * (100 if row.c == "JPY" else 1) / row.r
+        n, d = row.m * (100 if row.c == "JPY" else 1) * 10**9, int(row.r * 10**9)
+        q, rest = divmod(abs(n), d)
+        q += 2 * rest > d or (2 * rest == d and q % 2 == 1)
+        assert row.usd == (q if n >= 0 else -q), (row, exact.to_integral_value(ROUND_HALF_EVEN))
