@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.driver import MISSING_B_BATCH
+from tallybook.sources.driver import MISSING_B_BATCH
 
 
 def _row(name: str, expected: DataFrame, got: DataFrame, equal: bool = True) -> DataFrame:

