@@ -45,6 +45,8 @@ _OPENS = rf"^(?:{_FIELD},)*+{_QUOTED}\z"
 _STAYS = rf'^[^"]*+(?:""[^"]*+)*+(?:\z|"[^,]*+,(?:{_FIELD},)*+{_QUOTED}\z)'
 #: Length limit of a field, as in Python's csv.
 FIELD_LIMIT = 131072
+#: Up to so many blocks (a file has at least one) are broadcast to the lines; beyond, lines and blocks are shuffled.
+FEW_BLOCKS = 200_000
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -65,7 +67,9 @@ def source_of(name: Column, contracts: dict[str, SourceContract] = CONTRACTS) ->
 
 
 def relative(path: Column, root: str) -> Column:
-    return F.regexp_replace(path, r"^.*?" + re.escape(root.rstrip("/").split("://")[-1]) + "/", "")
+    below = root.rstrip("/").split("://")[-1] + "/"
+    at = F.instr(path, below)   # no pattern: this runs for every line
+    return F.when(at > 0, F.substring(path, at + len(below), F.lit(2**31 - 1) - at - len(below))).otherwise(path)
 
 
 def fields(record: Column) -> Column:
@@ -112,7 +116,8 @@ def _is_header(contracts: dict[str, SourceContract]) -> Column:
     for c in contracts.values():
         joined = ",".join(c.header)
         line = chomp(F.col("line"))
-        plain = F.translate(line, '"', "") == joined
+        # Few lines begin like a header: the others are not looked at further.
+        plain = F.when(line.startswith('"') | line.startswith(c.header[0]), F.translate(line, '"', "") == joined).otherwise(False)
         exact = plain & (~line.contains('"') | (fields(line) == F.array(*map(F.lit, c.header))))
         expr = F.when(F.col("source") == c.table, exact).otherwise(expr)
     return expr
@@ -273,6 +278,7 @@ class Files:
     lines: DataFrame
     blocks: DataFrame
     contracts: dict[str, SourceContract]
+    few: bool = False   # whether the rows of the blocks fit a broadcast
 
     @classmethod
     def read(cls, spark: SparkSession, root: str, paths: list[str] | None = None, contracts: dict[str, SourceContract] = CONTRACTS) -> Files:
@@ -284,7 +290,8 @@ class Files:
             F.when(F.col("blk") == 0, _is_header(contracts)).otherwise(False).alias("is_header"))
         reduced = numbers.mapInArrow(_reduce, _BLOCK)
         placed = reduced.repartition("file_name").sortWithinPartitions("file_name", "blk").mapInArrow(_fold, _PLACED)
-        return cls(lines, placed.checkpoint(eager=True), contracts)  # one row a block, in the shared folder
+        blocks = placed.checkpoint(eager=True)  # one row a block, in the shared folder
+        return cls(lines, blocks, contracts, blocks.count() <= FEW_BLOCKS)
 
     def table(self) -> DataFrame:
         """One row per file: file_name, source, size_bytes, modified_at, lines, fingerprint, valid, header_ok, multi, bom, open_end."""
@@ -297,6 +304,8 @@ class Files:
     def _placed(self, files: DataFrame) -> DataFrame:
         """Lines of ``files`` (a selection of ``table()``) with their number ``pos`` from 0."""
         blocks = self.blocks.select("file_name", "blk", "start", "first_mid").join(files.select("file_name", "multi", "open_end", F.col("lines").alias("of")), "file_name")
+        if self.few:  # or every line would be shuffled to meet its block
+            blocks = F.broadcast(blocks)
         return self.lines.drop("size_bytes", "modified_at").join(blocks, ["file_name", "blk"]).withColumn("pos", F.col("start") + F.col("mid") - F.col("first_mid")).drop("start", "mid", "first_mid")
 
     def _members(self, files: DataFrame) -> DataFrame:
