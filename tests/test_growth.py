@@ -1,15 +1,20 @@
 """What must not grow faster than the input: rows moved twice, lines stored with their ids, tasks of a fixed number."""
 
 import contextlib
+import glob
 import io
+import time
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from tallybook import session
 from tallybook.operators import journal, metrics, staging
-from tallybook.plans.models import TABLE_MODELS
+from tallybook.operators.quality import relationships
+from tallybook.plans.models import TABLE_MODELS, Models
 from tallybook.session import fit_partitions
+from tallybook.sources.contracts import Policy
 from tallybook.sources.driver import DriverFeeds
 from tallybook.sources.lines import Files
 
@@ -102,3 +107,56 @@ def test_lines_meet_their_blocks_without_a_shuffle(spark, tmp_path):
     files = Files.read(spark, str(tmp_path))
     text = plan(files.records(files.table()), "simple")
     assert files.few and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_child_rows_are_filtered_before_they_move_to_the_orphans(spark):
+    child = spark.createDataFrame([(i, None if i % 7 == 0 else f"v{i % 50}") for i in range(2000)], "id int, code string")
+    parent = spark.createDataFrame([(f"v{i}",) for i in range(40)] + [(None,)], "code string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = relationships(child, "code", parent, "code")
+        lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sorted(r.id for r in got.collect()) == [i for i in range(2000) if i % 7 and i % 50 >= 40]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(code" in line)
+    scan = next(i for i, line in enumerate(lines) if "Scan ExistingRDD[id" in line)
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in lines[moved:scan])
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def left_after(spark, before):
+    """The shuffle files made since, once Spark's cleaner has had its time."""
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    return left
+
+
+def test_a_landed_table_is_small_and_leaves_no_shuffle_files(spark):
+    feeds = DriverFeeds(spark, SMALL)
+    before = shuffle_files(spark)
+    landed = feeds._landed(f"moved_{time.time_ns()}", lambda: spark.range(100_000).repartition(7, "id"))
+    assert left_after(spark, before) == set()
+    assert landed.count() == 100_000 and landed.inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_a_stored_model_is_small_and_leaves_no_shuffle_files(spark):
+    models = Models(spark, SMALL, policy=Policy(recon_tolerance_minor=time.time_ns()))   # tables of its own
+    before = shuffle_files(spark)
+    stored = models._m("cash_postings", lambda: spark.range(100_000).repartition(7, "id"))
+    assert left_after(spark, before) == set()
+    assert stored.count() == 100_000 and stored.inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_storing_at_once_leaves_the_callers_setting(spark, tmp_path):
+    before = spark.conf.get(session._CLEAN, "false")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: session.store(spark.range(1000 * i).repartition(3, "id"), f"{tmp_path}/{i}"), range(1, 9)))
+    assert spark.conf.get(session._CLEAN) == before and not session._STORING
+    assert [spark.read.parquet(f"{tmp_path}/{i}").count() for i in range(1, 9)] == [1000 * i for i in range(1, 9)]
