@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybook import session
 from tallybook.operators import journal, metrics, staging
+from tallybook.operators.checks import CHECKS, Check, failures
 from tallybook.operators.quality import relationships
 from tallybook.plans.models import TABLE_MODELS, Models
 from tallybook.session import fit_partitions
@@ -160,3 +161,27 @@ def test_storing_at_once_leaves_the_callers_setting(spark, tmp_path):
         list(pool.map(lambda i: session.store(spark.range(1000 * i).repartition(3, "id"), f"{tmp_path}/{i}"), range(1, 9)))
     assert spark.conf.get(session._CLEAN) == before and not session._STORING
     assert [spark.read.parquet(f"{tmp_path}/{i}").count() for i in range(1, 9)] == [1000 * i for i in range(1, 9)]
+
+
+def test_checks_run_one_model_after_the_other(spark, models_small):
+    checks = tuple(c for c in CHECKS if c.model in ("stg_orders", "seller_months", "journal_cash", "general_ledger"))
+    lazy = failures({m: getattr(models_small, m) for m in ("stg_orders", "seller_months", "journal_cash", "general_ledger", "chart_of_accounts")}, checks)
+    before = shuffle_files(spark)
+    got = failures(models_small, checks)
+    assert left_after(spark, before) == set()
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert len(checks) == 11 and sorted(got.collect()) == sorted(lazy.collect())
+    whole = Models(spark, SMALL, tables=False)
+    assert "Exchange" in failures(whole, (Check("stg_orders", "unique", ("order_id",)),))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_move_as_bytes_and_stay_apart(spark):
+    texts = ["ab", "AB", "aB", "abc", "0abc", "", "\0", "\x01", "00", "01", "0001", "zz", "ab\n", " ab", "\u00ab", None, "d41d8cd98f00b204e9800998ecf8427e"]
+    rows = [(k, i % 3 - 1) for i, k in enumerate(texts + texts[::2] + texts[::3])]
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = failures({"t": df}, (Check("t", "unique", ("k",)), Check("t", "sums_to_zero", ("k", "v"))))
+    counts, sums = Counter(k for k, _ in rows), Counter()
+    for k, v in rows:
+        sums[k] += v
+    assert {r.kind: r.failures for r in got.collect()} == {"unique": sum(n > 1 for k, n in counts.items() if k is not None), "sums_to_zero": sum(s != 0 for s in sums.values())}
+    assert "unhex" in plan(got)
